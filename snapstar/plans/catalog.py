@@ -55,6 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 #   bridge scope: part types STANDARD, PROMO, ECONOMY
 #   merge loads: first load orders before 1999-01-01, second load orders from
 #     1997-01-01 on, in which open ('O') orders have become 'F'
+#   configured calendar of the daily KPI table: 1990-01-01 .. 2035-12-31
 # ---------------------------------------------------------------------------
 STATUS_MOD = 12
 EVENT_TEXT = {
@@ -68,6 +69,8 @@ HOLIDAY_STATUS = "P"
 HOLIDAY_PRIORITIES = ("1-URGENT", "2-HIGH")
 BRIDGE_PART_TYPES = ("STANDARD", "PROMO", "ECONOMY")
 FIRST_LOAD_BEFORE = "1999-01-01"
+CALENDAR_START = "1990-01-01"
+CALENDAR_END = "2035-12-31"
 SECOND_LOAD_FROM = "1997-01-01"
 
 
@@ -548,14 +551,8 @@ def daily_kpis(spark, sf):
         S.round_half_up(F.max(temp), 2).alias("max_wind_gust_kmh"),
     )
 
-    domains = [line_daily, arrival_daily, weather_daily]
-    bounds_src = line_daily.select("date_key").unionByName(arrival_daily.select("date_key")).unionByName(
-        weather_daily.select("date_key")
-    )
-    as_date = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
-    bounds = bounds_src.agg(F.min(as_date).alias("start_date"), F.max(as_date).alias("end_date"))
-    cal = D.enrich_with_holidays(D.calendar_from_bounds(bounds), _holidays(spark, sf))
-    return S.combine_daily(domains, cal, DAILY_CALENDAR_COLS, DAILY_COUNT_COLS)
+    cal = D.enrich_with_holidays(D.calendar(spark, CALENDAR_START, CALENDAR_END), _holidays(spark, sf))
+    return S.combine_daily([line_daily, arrival_daily, weather_daily], cal, DAILY_CALENDAR_COLS, DAILY_COUNT_COLS)
 
 
 # ---------------------------------------------------------------------------

@@ -281,9 +281,7 @@ DAILY_KPIS = f"""
                   {r('max(o_totalprice / 10000.0)', 2)} AS max_wind_gust_kmh
            FROM orders GROUP BY 1),
     active AS (SELECT date_key FROM line UNION SELECT date_key FROM arr UNION SELECT date_key FROM wx),
-    bounds AS (SELECT min(strptime(CAST(date_key AS VARCHAR), '%Y%m%d')) AS start_date,
-                      max(strptime(CAST(date_key AS VARCHAR), '%Y%m%d')) AS end_date FROM active),
-    cal AS ({calendar_sql('bounds')}),
+    cal AS ({calendar_sql("(SELECT DATE '1990-01-01' AS start_date, DATE '2035-12-31' AS end_date)")}),
     hol AS ({HOLIDAYS})
     SELECT cal.date_key, cal.calendar_date, cal.year, cal.quarter, cal.month, cal.month_name, cal.day_of_week,
            cal.day_name, cal.is_weekend, hol.holiday_name IS NOT NULL AS is_bank_holiday, hol.holiday_name,
