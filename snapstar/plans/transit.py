@@ -23,59 +23,89 @@ from snapstar.plans import serving as S
 # Row rules (true = good row)
 # ---------------------------------------------------------------------------
 
-LINE_STATUS_RULES = Q.not_null("request_id", "line_id", "line_name", "snapshot_at", "status_severity")
-STOP_POINT_RULES = [
-    *Q.not_null("request_id", "stop_point_id", "common_name", "snapshot_at"),
-    Q.Rule("latitude_valid", F.col("latitude").between(-90, 90)),
-    Q.Rule("longitude_valid", F.col("longitude").between(-180, 180)),
-]
-ARRIVAL_RULES = [
-    *Q.not_null("request_id", "arrival_id", "line_id", "station_name", "prediction_timestamp",
-                "expected_arrival", "time_to_station_seconds", "snapshot_at"),
-    Q.Rule("requested_stop_point_id_not_blank", F.col("requested_stop_point_id") != ""),
-    Q.non_negative("time_to_station_seconds"),
-]
-WEATHER_RULES = [
-    *Q.not_null("weather_observed_at"),
-    Q.Rule("latitude_valid", F.col("latitude").between(-90, 90)),
-    Q.Rule("longitude_valid", F.col("longitude").between(-180, 180)),
-    Q.Rule("humidity_valid", F.col("relative_humidity_pct").isNull() | F.col("relative_humidity_pct").between(0, 100)),
-    Q.Rule("cloud_cover_valid", F.col("cloud_cover_pct").isNull() | F.col("cloud_cover_pct").between(0, 100)),
-    Q.non_negative("rain_mm", allow_null=True),
-    Q.non_negative("precipitation_mm", allow_null=True),
-    Q.non_negative("wind_speed_kmh", allow_null=True),
-    Q.non_negative("wind_gusts_kmh", allow_null=True),
-]
-HOLIDAY_RULES = Q.not_null("request_id", "division", "holiday_name", "holiday_date", "snapshot_at")
-FACT_LINE_STATUS_RULES = Q.not_null(
-    "line_status_key", "line_key", "line_id", "snapshot_date_key", "request_id", "snapshot_at", "status_severity"
-)
-FACT_ARRIVAL_RULES = [
-    *Q.not_null("arrival_observation_key", "station_key", "line_key", "requested_station_id", "line_id",
-                "prediction_date_key", "request_id", "arrival_id", "prediction_timestamp", "expected_arrival",
-                "time_to_station_seconds", "snapshot_at"),
-    Q.non_negative("time_to_station_seconds"),
-]
-CURRENT_STATUS_RULES = Q.not_null(
-    "line_key", "line_id", "line_name", "status_severity", "status_description", "status_snapshot_at_utc", "request_id"
-)
-ARRIVAL_SUMMARY_RULES = [
-    *Q.not_null("station_key", "line_key", "station_id", "line_id", "arrival_observations",
-                "next_expected_arrival_utc", "latest_prediction_timestamp_utc"),
-    Q.Rule("arrival_observations_positive", F.col("arrival_observations") > 0),
-    Q.non_negative("distinct_vehicles"),
-    Q.non_negative("min_eta_seconds"),
-    Q.Rule("eta_order", (F.col("min_eta_seconds") <= F.col("avg_eta_seconds")) & (F.col("avg_eta_seconds") <= F.col("max_eta_seconds"))),
-]
-DAILY_KPI_RULES = [
-    *Q.not_null("date_key", "calendar_date"),
-    Q.Rule("disrupted_le_total", F.col("disrupted_line_snapshots") <= F.col("line_snapshots")),
-    Q.Rule("good_plus_bad_is_total",
-           F.col("good_service_line_snapshots") + F.col("disrupted_line_snapshots") == F.col("line_snapshots")),
-    Q.Rule("rate_in_range", F.col("disruption_rate_pct").isNull() | F.col("disruption_rate_pct").between(0, 100)),
-    Q.non_negative("arrival_observations"),
-    Q.non_negative("weather_observations"),
-]
+def line_status_rules() -> list[Q.Rule]:
+    return Q.not_null("request_id", "line_id", "line_name", "snapshot_at", "status_severity")
+
+
+def stop_point_rules() -> list[Q.Rule]:
+    return [
+        *Q.not_null("request_id", "stop_point_id", "common_name", "snapshot_at"),
+        Q.Rule("latitude_valid", F.col("latitude").between(-90, 90)),
+        Q.Rule("longitude_valid", F.col("longitude").between(-180, 180)),
+    ]
+
+
+def arrival_rules() -> list[Q.Rule]:
+    return [
+        *Q.not_null("request_id", "arrival_id", "line_id", "station_name", "prediction_timestamp",
+                    "expected_arrival", "time_to_station_seconds", "snapshot_at"),
+        Q.Rule("requested_stop_point_id_not_blank", F.col("requested_stop_point_id") != ""),
+        Q.non_negative("time_to_station_seconds"),
+    ]
+
+
+def weather_rules() -> list[Q.Rule]:
+    """Null rain, precipitation, wind and cloud values pass."""
+    return [
+        *Q.not_null("weather_observed_at"),
+        Q.Rule("latitude_valid", F.col("latitude").between(-90, 90)),
+        Q.Rule("longitude_valid", F.col("longitude").between(-180, 180)),
+        Q.Rule("humidity_valid", F.col("relative_humidity_pct").isNull() | F.col("relative_humidity_pct").between(0, 100)),
+        Q.Rule("cloud_cover_valid", F.col("cloud_cover_pct").isNull() | F.col("cloud_cover_pct").between(0, 100)),
+        Q.non_negative("rain_mm", allow_null=True),
+        Q.non_negative("precipitation_mm", allow_null=True),
+        Q.non_negative("wind_speed_kmh", allow_null=True),
+        Q.non_negative("wind_gusts_kmh", allow_null=True),
+    ]
+
+
+def holiday_rules() -> list[Q.Rule]:
+    return Q.not_null("request_id", "division", "holiday_name", "holiday_date", "snapshot_at")
+
+
+def fact_line_status_rules() -> list[Q.Rule]:
+    return Q.not_null(
+        "line_status_key", "line_key", "line_id", "snapshot_date_key", "request_id", "snapshot_at", "status_severity"
+    ) + [Q.Rule("flags_differ", F.col("is_good_service") != F.col("is_disrupted"))]
+
+
+def fact_arrival_rules() -> list[Q.Rule]:
+    return [
+        *Q.not_null("arrival_observation_key", "station_key", "line_key", "requested_station_id", "line_id",
+                    "prediction_date_key", "request_id", "arrival_id", "prediction_timestamp", "expected_arrival",
+                    "time_to_station_seconds", "snapshot_at"),
+        Q.non_negative("time_to_station_seconds"),
+    ]
+
+
+def current_status_rules() -> list[Q.Rule]:
+    return Q.not_null(
+        "line_key", "line_id", "line_name", "status_severity", "status_description", "status_snapshot_at_utc", "request_id"
+    )
+
+
+def arrival_summary_rules() -> list[Q.Rule]:
+    return [
+        *Q.not_null("station_key", "line_key", "station_id", "line_id", "arrival_observations",
+                    "next_expected_arrival_utc", "latest_prediction_timestamp_utc"),
+        Q.Rule("arrival_observations_positive", F.col("arrival_observations") > 0),
+        Q.non_negative("distinct_vehicles"),
+        Q.non_negative("min_eta_seconds"),
+        Q.Rule("eta_order", (F.col("min_eta_seconds") <= F.col("avg_eta_seconds"))
+               & (F.col("avg_eta_seconds") <= F.col("max_eta_seconds"))),
+    ]
+
+
+def daily_kpi_rules() -> list[Q.Rule]:
+    return [
+        *Q.not_null("date_key", "calendar_date"),
+        Q.Rule("disrupted_le_total", F.col("disrupted_line_snapshots") <= F.col("line_snapshots")),
+        Q.Rule("good_plus_bad_is_total",
+               F.col("good_service_line_snapshots") + F.col("disrupted_line_snapshots") == F.col("line_snapshots")),
+        Q.Rule("rate_in_range", F.col("disruption_rate_pct").isNull() | F.col("disruption_rate_pct").between(0, 100)),
+        Q.non_negative("arrival_observations"),
+        Q.non_negative("weather_observations"),
+    ]
 
 
 # ---------------------------------------------------------------------------
