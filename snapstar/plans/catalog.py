@@ -124,26 +124,31 @@ LINE_SCHEMA = (
 
 
 def order_payloads(spark, sf) -> DataFrame:
-    """Bronze-like rows: one JSON document per order and line number.
+    """Bronze-like rows: one JSON document per order and child line.
 
-    Children are nested per (order, line number, part, supplier), so each
-    array stays as small as the duplicates of one child row.  Orders without
-    children get a document with no ``lines`` member.
+    Each document nests its child in a ``lines`` array; an order without
+    children gets a document with no ``lines`` member.  No aggregation is
+    needed to build them, so no group can grow with the data.
     """
     li = _t(spark, sf, "lineitem")
-    od = _t(spark, sf, "orders")
-    chunks = li.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(
-        F.collect_list(
-            F.struct(
-                F.col("l_linenumber").alias("line_number"),
-                F.col("l_partkey").alias("part_id"),
-                F.col("l_suppkey").alias("supplier_id"),
-                F.col("l_quantity").alias("quantity"),
-                F.col("l_extendedprice").alias("extended_price"),
-            )
-        ).alias("lines")
+    od = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    child = F.struct(
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("part_id"),
+        F.col("l_suppkey").alias("supplier_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("extended_price"),
+    )
+    # The child table is the streamed side; parents without children are
+    # added by an anti-join instead of an outer join that would stream the
+    # parent table.
+    with_lines = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner").select(
+        "o_orderkey", "o_orderstatus", F.array(child).alias("lines")
+    )
+    childless = od.join(li, od["o_orderkey"] == li["l_orderkey"], "left_anti").select(
+        "o_orderkey", "o_orderstatus", F.lit(None).cast(with_lines.schema["lines"].dataType).alias("lines")
     )
-    docs = od.join(chunks, od["o_orderkey"] == chunks["l_orderkey"], "left")
+    docs = with_lines.unionByName(childless)
     return docs.select(
         F.to_json(
             F.struct(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"), "lines")
