@@ -29,6 +29,25 @@ def _one(name: str, df_with_actual: DataFrame, expected: int | None = 0, expecte
     )
 
 
+def aggregate_checks(df: DataFrame, specs) -> DataFrame:
+    """Several checks over one frame in a single aggregate pass.
+
+    ``specs``: ``(name, actual aggregate, expected)`` where expected is an
+    int, None (informational) or an aggregate column.  The one-row result is
+    unpivoted with ``inline`` into one row per check.
+    """
+    aggs, rows = [], []
+    for i, (name, actual, expected) in enumerate(specs):
+        aggs.append(actual.cast("bigint").alias(f"_a{i}"))
+        if isinstance(expected, int) or expected is None:
+            exp = F.lit(expected).cast("bigint")
+        else:
+            aggs.append(expected.cast("bigint").alias(f"_e{i}"))
+            exp = F.col(f"_e{i}")
+        rows.append(F.struct(F.lit(name).alias("check_name"), F.col(f"_a{i}").alias("actual_value"), exp.alias("expected_value")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def row_count(name: str, df: DataFrame) -> DataFrame:
     """Informational count (expected null -> status INFO)."""
     return _one(name, df.agg(F.count(F.lit(1)).alias("actual")), expected=None)
@@ -57,6 +76,16 @@ def not_one_current(name: str, dim: DataFrame, keys: Sequence[str]) -> DataFrame
     return _one(name, per.agg(F.count_if(F.col("n") != 1).alias("actual")))
 
 
+def version_flags(dim: DataFrame, prefix: str) -> DataFrame:
+    """Inverted dates, current-with-end and closed-without-end in one pass."""
+    return aggregate_checks(dim, [
+        (f"{prefix}_inverted_dates",
+         F.count_if(F.col("effective_to").isNotNull() & (F.col("effective_to") <= F.col("effective_from"))), 0),
+        (f"{prefix}_current_with_end", F.count_if(F.col("is_current") & F.col("effective_to").isNotNull()), 0),
+        (f"{prefix}_closed_without_end", F.count_if(~F.col("is_current") & F.col("effective_to").isNull()), 0),
+    ])
+
+
 def inverted_dates(name: str, dim: DataFrame) -> DataFrame:
     cond = F.col("effective_to").isNotNull() & (F.col("effective_to") <= F.col("effective_from"))
     return _one(name, dim.agg(F.count_if(cond).alias("actual")))
@@ -112,6 +141,35 @@ def set_difference(name: str, left: DataFrame, right: DataFrame, keys: Sequence[
     return _one(name, d.agg(F.count(F.lit(1)).alias("actual")))
 
 
+def outside_interval(name: str, df: DataFrame, ts: str, from_col: str = "effective_from",
+                     to_col: str = "effective_to") -> DataFrame:
+    """Temporal-join audit: facts whose time lies outside the interval of
+    the version they were joined to (expected 0)."""
+    bad = (F.col(ts) < F.col(from_col)) | (F.col(to_col).isNotNull() & (F.col(ts) >= F.col(to_col)))
+    return _one(name, df.agg(F.count_if(bad).alias("actual")))
+
+
+def mismatched(name: str, df: DataFrame, left, right) -> DataFrame:
+    """Rows where two derivations of a value disagree (null-safe), e.g. a
+    stored local date key against one recomputed from the timestamp."""
+    lc = F.col(left) if isinstance(left, str) else left
+    rc = F.col(right) if isinstance(right, str) else right
+    return _one(name, df.agg(F.count_if(~lc.eqNullSafe(rc)).alias("actual")))
+
+
+def pointing_at_expired(name: str, rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Serving rows whose version key is not a current version (expected 0)."""
+    cur = dim.filter(F.col("is_current")).select(key)
+    missing = rows.select(key).filter(F.col(key).isNotNull()).join(cur, on=key, how="left_anti")
+    return _one(name, missing.agg(F.count(F.lit(1)).alias("actual")))
+
+
+def rerun_adds_nothing(name: str, once: DataFrame, twice: DataFrame) -> DataFrame:
+    """Idempotency probe: rows(twice) - rows(once), expected 0."""
+    sides = once.select(F.lit(-1).alias("_d")).unionByName(twice.select(F.lit(1).alias("_d")))
+    return _one(name, sides.agg(F.sum("_d").alias("actual")))
+
+
 def suite(checks: Sequence[DataFrame], run_id: str | None = None) -> DataFrame:
     """Union the checks and derive ``status`` (PASS/FAIL, INFO when no
     expectation)."""
@@ -127,6 +185,21 @@ def suite(checks: Sequence[DataFrame], run_id: str | None = None) -> DataFrame:
     return out
 
 
+def latest_run_failures(history: DataFrame) -> DataFrame:
+    """Failed checks of the newest run in a persisted audit history (the run
+    is found by a scalar subquery, not a driver round trip)."""
+    latest = history.select(F.max("checked_at")).scalar()
+    runs = history.filter(F.col("checked_at") == latest).select("validation_run_id").distinct()
+    return history.join(runs, on="validation_run_id", how="left_semi").filter(F.col("status") == "FAIL")
+
+
+def run_summary(history: DataFrame) -> DataFrame:
+    """Checks per run and status."""
+    return history.groupBy("validation_run_id", "status").agg(
+        F.count(F.lit(1)).alias("checks"), F.max("checked_at").alias("checked_at")
+    )
+
+
 class AuditFailed(RuntimeError):
     pass
 

@@ -498,6 +498,58 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_insert_only": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     }
+    q.update({
+        "disrupted_list": f"""
+            WITH s AS ({LATEST_STATE})
+            SELECT user_id, c_name, status_severity, status_description FROM s WHERE is_disrupted ORDER BY user_id""",
+        "rate_series": f"""
+            WITH k AS ({DAILY_KPIS})
+            SELECT calendar_date, disruption_rate_pct FROM k WHERE disruption_rate_pct IS NOT NULL ORDER BY calendar_date""",
+        "station_rollup": """
+            WITH pl AS (SELECT l_suppkey, l_returnflag, count(DISTINCT l_partkey) AS dv FROM lineitem GROUP BY ALL),
+            s AS (SELECT l_suppkey, CAST(sum(dv) AS BIGINT) AS vehicle_line_sightings, count(*) AS lines FROM pl GROUP BY l_suppkey),
+            e AS (SELECT l_suppkey, count(DISTINCT l_partkey) AS distinct_vehicles FROM lineitem GROUP BY l_suppkey)
+            SELECT s.l_suppkey, s.vehicle_line_sightings, s.lines, e.distinct_vehicles FROM s JOIN e ON s.l_suppkey = e.l_suppkey""",
+        "distinct_profile": """
+            SELECT count(*) AS rows, count(DISTINCT user_id) AS distinct_user_id,
+                   count(DISTINCT event_type) AS distinct_event_type, count(DISTINCT CAST(ts AS DATE)) AS distinct_days
+            FROM events""",
+        "freshness": """
+            SELECT 'events' AS source, min(ts) AS oldest, max(ts) AS newest FROM events
+            UNION ALL SELECT 'lineitem', min(l_shipdate), max(l_shipdate) FROM lineitem
+            UNION ALL SELECT 'orders', min(o_orderdate), max(o_orderdate) FROM orders""",
+        "orders_by_year": f"""
+            SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS orders,
+                   {r('sum(o_totalprice)', 2)} AS revenue, {r('avg(o_totalprice)', 2)} AS avg_order_value
+            FROM orders GROUP BY 1""",
+        "display_text": """
+            SELECT l.l_orderkey, l.l_linenumber,
+                   trim(regexp_replace(s.s_name, '^Supplier#0*', 'S')) AS supplier_label,
+                   CASE WHEN l.l_quantity IS NULL THEN 'No data' ELSE printf('%.1f min', l.l_quantity * 60 / 60.0) END AS eta_text,
+                   coalesce(strftime(l.l_shipdate, '%d %b %Y, %H:%M'), 'No data') AS ship_text,
+                   coalesce(strftime(l.l_shipdate, '%d %b %Y'), 'No data') AS ship_date_text
+            FROM lineitem l LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey""",
+        "chk_temporal": suite(
+            [
+                ("as_of_rows_equal_facts", "SELECT count(*) FROM asof_rows", "SELECT count(*) FROM events WHERE ts IS NOT NULL"),
+                ("as_of_outside_interval", "SELECT count(*) FROM asof_rows WHERE ts < effective_from OR (effective_to IS NOT NULL AND ts >= effective_to)", "0"),
+                ("fact_ship_date_key_mismatch", f"SELECT count(*) FROM fact f JOIN lineitem l USING (l_orderkey, l_linenumber, l_partkey, l_suppkey) WHERE f.ship_date_key IS DISTINCT FROM {ldk('l.l_shipdate')}", "0"),
+                ("merge_rerun_adds_rows", "(SELECT count(*) FROM twice) - (SELECT count(*) FROM once)", "0"),
+                ("latest_version_not_current", "SELECT count(*) FROM (SELECT user_id, arg_max(version_key, effective_from) AS vk FROM v GROUP BY user_id) x WHERE vk NOT IN (SELECT version_key FROM v WHERE is_current)", "0"),
+            ],
+            ctes=f"""WITH {SCD2_VERSIONS},
+    fact AS ({FACT_STAR_SELECT}),
+    {LOADS},
+    once AS (SELECT * FROM f UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.o_orderkey = s.o_orderkey)),
+    twice AS (SELECT * FROM once UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM once WHERE once.o_orderkey = s.o_orderkey)),
+    asof_rows AS (
+      WITH e AS (SELECT user_id, ts, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+      s AS (SELECT user_id, ts AS effective_from FROM e WHERE prev IS NULL OR prev <> event_type),
+      vv AS (SELECT user_id, effective_from, lead(effective_from) OVER (PARTITION BY user_id ORDER BY effective_from) AS effective_to FROM s)
+      SELECT f.event_id, f.ts, vv.effective_from, vv.effective_to FROM events f JOIN vv ON f.user_id = vv.user_id
+        AND f.ts >= vv.effective_from AND (vv.effective_to IS NULL OR f.ts < vv.effective_to))""",
+        ),
+    })
     for name, rows in _CHK_ROWS.items():
         q[name] = suite(rows, ctes=_CHK_CTES)
     return q
