@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -377,10 +377,15 @@ def weekly_states(spark, sf) -> DataFrame:
     """State of every user at each weekly cut-off: its last event type so far.
 
     Week ``w`` holds events in ``[start + 7(w-1), start + 7w)``; the state at
-    cut-off ``i`` is the newest event with ``w <= i``.  Newest per (user, week)
-    is a combining aggregate; carrying it to later cut-offs fans each row out
-    to at most the number of weeks; the final pick per (user, cut-off) is again
-    an aggregate.  No window over a user.
+    cut-off ``i`` is the newest event with ``w <= i``.
+
+    * newest event per (user, week): a combining aggregate (a hot user is
+      reduced map-side);
+    * each active week is valid until the user's next active week: ``lead``
+      over the user's active weeks - at most one row per week, so bounded by
+      the time span, not by the data;
+    * the row is repeated for the cut-offs it covers, so every (user, cut-off)
+      of the full-state output is produced exactly once.
     """
     ev = _t(spark, sf, "events")
     start = ev.select(F.date_trunc("week", F.min("ts"))).scalar()
@@ -388,8 +393,10 @@ def weekly_states(spark, sf) -> DataFrame:
     weekly = ev.select("user_id", "ts", "event_id", "event_type", w.alias("w"))
     n = weekly.select(F.max("w")).scalar()
     per_week = latest_per_key(weekly, ["user_id", "w"], "ts", ["event_id"])
-    fanned = per_week.select("user_id", "ts", "event_id", "event_type", "w", F.explode(F.sequence(F.col("w"), n)).alias("i"))
-    state = latest_per_key(fanned.drop("w"), ["user_id", "i"], "ts", ["event_id"])
+    nxt = F.lead("w").over(Window.partitionBy("user_id").orderBy("w"))
+    until = F.coalesce(nxt - 1, n)
+    spans = per_week.select("user_id", "event_type", "w", until.alias("until"))
+    state = spans.select("user_id", "event_type", F.explode(F.sequence("w", "until")).alias("i"))
     snap_at = (start.cast("timestamp") + F.make_dt_interval(F.col("i") * 7)).cast("timestamp")
     return state.select("user_id", "i", "event_type", snap_at.alias("snapshot_at"))
 
@@ -493,8 +500,10 @@ def fact_star(spark, sf):
     li = _t(spark, sf, "lineitem")
     od = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    # customer grows with the data, so no broadcast hint: AQE switches to a
+    # broadcast join only when the runtime size of that side is small.
     f = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner").join(
-        F.broadcast(cu), F.col("o_custkey") == F.col("c_custkey"), "inner"
+        cu, F.col("o_custkey") == F.col("c_custkey"), "inner"
     )
     return f.select(
         hash_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("fact_key"),

@@ -103,6 +103,27 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """Namespace for a layer (bronze, silver, gold, meta)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
+def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Table inventory of a namespace (catalog metadata, no data read)."""
+    return sorted(t.name for t in spark.catalog.listTables(database))
+
+
+LOAD_LOG_SCHEMA = "load_id string, table_name string, operation string, rows_written bigint, logged_at timestamp"
+
+
+def log_load(spark: SparkSession, log_table: str, table_name: str, operation: str, rows_written: int | None) -> None:
+    """Append one load record (replaces a format's commit history on plain
+    parquet tables).  One small row from the driver."""
+    row = [(uuid.uuid4().hex, table_name, operation, rows_written)]
+    df = spark.createDataFrame(row, "load_id string, table_name string, operation string, rows_written bigint")
+    df.withColumn("logged_at", F.current_timestamp()).write.mode("append").saveAsTable(log_table)
+
+
 def append(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 

@@ -444,3 +444,22 @@ def test_rows_via_row_objects(spark):
     # createDataFrame from Row objects keeps names (sanity for fixtures)
     df = spark.createDataFrame([Row(a=1)])
     assert df.columns == ["a"]
+
+
+def test_namespaces_inventory_and_load_log(spark):
+    T.ensure_database(spark, "meta_t")
+    spark.sql("DROP TABLE IF EXISTS meta_t.load_log")
+    T.log_load(spark, "meta_t.load_log", "silver.line_status", "merged", 12)
+    T.log_load(spark, "meta_t.load_log", "silver.line_status", "merged", 0)
+    assert "load_log" in T.list_tables(spark, "meta_t")
+    rows = spark.table("meta_t.load_log").orderBy("rows_written").collect()
+    assert [r["rows_written"] for r in rows] == [0, 12] and rows[0]["logged_at"] is not None
+
+
+def test_audit_history_latest_run_failures(spark):
+    hist = spark.createDataFrame(
+        [("run1", "a", "FAIL", TS(2024, 1, 1)), ("run2", "a", "PASS", TS(2024, 1, 2)), ("run2", "b", "FAIL", TS(2024, 1, 2))],
+        "validation_run_id string, check_name string, status string, checked_at timestamp")
+    assert [r["check_name"] for r in A.latest_run_failures(hist).collect()] == ["b"]
+    summary = {(r["validation_run_id"], r["status"]): r["checks"] for r in A.run_summary(hist).collect()}
+    assert summary == {("run1", "FAIL"): 1, ("run2", "PASS"): 1, ("run2", "FAIL"): 1}
