@@ -515,9 +515,7 @@ def fact_star(spark, sf):
 
 
 def latest_day_summary_q(spark, sf):
-    ev = _t(spark, sf, "events").select(
-        "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value", _k().alias("k")
-    )
+    ev = _t(spark, sf, "events").select("user_id", "event_type", "ts", "value", _k().alias("k"))
     summary = S.latest_day_summary(ev, ["user_id", "event_type"], "ts", entity="k", measure="value", expected="ts")
     members = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
     return finish(summary.join(members, on="user_id", how="inner"))
