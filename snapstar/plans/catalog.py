@@ -844,6 +844,19 @@ def display_text(spark, sf):
     )
 
 
+def status_mix(spark, sf):
+    return R.mix(severity_label(spark, sf), "service_state")
+
+
+def bridge_degree(spark, sf):
+    pairs = _bridge(spark, sf)
+    per_station = R.degree(pairs, "s_suppkey", "p_partkey", "lines").select(
+        F.lit("station").alias("node_kind"), F.col("s_suppkey").alias("node_id"), F.col("lines").alias("partners"))
+    per_line = R.degree(pairs, "p_partkey", "s_suppkey", "stations").select(
+        F.lit("line").alias("node_kind"), F.col("p_partkey").alias("node_id"), F.col("stations").alias("partners"))
+    return per_station.unionByName(per_line)
+
+
 def _temporal_checks(spark, sf) -> list[DataFrame]:
     versions = event_versions(spark, sf).select(
         "user_id", "version_key", "effective_from", "effective_to"
@@ -937,6 +950,8 @@ def queries() -> dict[str, Query]:
         "orders_by_year": orders_by_year,
         "display_text": display_text,
         "chk_temporal": chk_temporal,
+        "status_mix": status_mix,
+        "bridge_degree": bridge_degree,
     }
     for name in ("chk_duplicate_keys", "chk_orphans", "chk_scd2_integrity", "chk_reconcile", "chk_date_sets"):
         q[name] = _check_query(name)

@@ -499,6 +499,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_insert_only": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     }
     q.update({
+        "status_mix": f"WITH t AS ({SEVERITY}) SELECT service_state, count(*) AS rows FROM t GROUP BY service_state",
+        "bridge_degree": f"""
+            WITH {BRIDGE_CTES}
+            SELECT 'station' AS node_kind, s_suppkey AS node_id, count(DISTINCT p_partkey) AS partners FROM bridge GROUP BY s_suppkey
+            UNION ALL
+            SELECT 'line', p_partkey, count(DISTINCT s_suppkey) FROM bridge GROUP BY p_partkey""",
         "disrupted_list": f"""
             WITH s AS ({LATEST_STATE})
             SELECT user_id, c_name, status_severity, status_description FROM s WHERE is_disrupted ORDER BY user_id""",

@@ -107,3 +107,22 @@ def timestamp_text(ts: Column | str, fmt: str = "dd MMM yyyy, HH:mm") -> Column:
 
 def rounded(col: Column, digits: int) -> Column:
     return round_half_up(col, digits)
+
+
+def stamp(df: DataFrame, *cols: str) -> DataFrame:
+    """Audit stamp columns (processed_at, created_at, updated_at,
+    serving_updated_at): the query's start time, one value per query."""
+    for c in cols:
+        df = df.withColumn(c, F.current_timestamp())
+    return df
+
+
+def mix(df: DataFrame, col: str) -> DataFrame:
+    """Row count per value (e.g. status mix)."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def degree(pairs: DataFrame, node: str, other: str, name: str) -> DataFrame:
+    """Per node: number of distinct partners in a pair table (lines per
+    station, stations per line)."""
+    return pairs.groupBy(node).agg(F.count_distinct(other).alias(name))

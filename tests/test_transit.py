@@ -13,7 +13,7 @@ from snapstar.plans import dims as D
 from snapstar.plans import transit as TR
 from snapstar.sources import flatten as FL
 from snapstar.sources.landing import BRONZE_SCHEMA, landing_path, read_landing
-from snapstar.streaming.merge import stream_landing_to_bronze
+from snapstar.streaming.merge import stream_bronze_to_silver, stream_landing_to_bronze
 
 TS = dt.datetime
 
@@ -173,3 +173,22 @@ def test_landing_batch_equals_stream(spark, tmp_path):
     assert sorted(r["request_id"] for r in streamed.collect()) == ["req-1", "req-2", "req-3"]
     cols = ["request_id", "source", "dataset", "payload"]
     assert read_landing(spark, base).select(*cols).exceptAll(streamed.select(*cols)).count() == 0
+
+
+def test_bronze_to_silver_stream_equals_batch(spark, tmp_path):
+    p1 = _line_payload([("victoria", "Victoria", [(0, 10, "Good Service", None)]),
+                        ("central", "Central", [(None, 6, "Severe Delays", "x")])])
+    p2 = _line_payload([("victoria", "Victoria", [(0, 9, "Minor Delays", "y")]), ("empty", "Empty", [])])
+    b1 = _bronze(spark, [("r1", "line_status", "/Line/Mode/tube/Status", TS(2024, 8, 23, 21), p1)])
+    b2 = _bronze(spark, [("r2", "line_status", "/Line/Mode/tube/Status", TS(2024, 8, 23, 22), p2)])
+    bronze, silver, bad, ckpt = (str(tmp_path / n) for n in ("bronze", "silver", "bad", "ckpt"))
+    keys = ["request_id", "line_id", "status_id"]
+    b1.write.mode("append").parquet(bronze)
+    stream_bronze_to_silver(spark, bronze, FL.line_status, TR.line_status_rules, keys, silver, bad, ckpt, null_safe=["status_id"])
+    b2.write.mode("append").parquet(bronze)
+    stream_bronze_to_silver(spark, bronze, FL.line_status, TR.line_status_rules, keys, silver, bad, ckpt, null_safe=["status_id"])
+    stream_bronze_to_silver(spark, bronze, FL.line_status, TR.line_status_rules, keys, silver, bad, ckpt, null_safe=["status_id"])
+    batch_valid, batch_invalid = Q.split(FL.line_status(b1.unionByName(b2)), TR.line_status_rules())
+    got = spark.read.parquet(silver)
+    assert got.count() == 3 and got.exceptAll(batch_valid).count() == 0 and batch_valid.exceptAll(got).count() == 0
+    assert spark.read.parquet(bad).count() == batch_invalid.count() == 1
