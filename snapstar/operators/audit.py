@@ -107,8 +107,7 @@ def overlapping_versions(name: str, dim: DataFrame, keys: Sequence[str]) -> Data
     only caught by the one-current check).  Skew-safe previous lookup.
     """
     v = dim.select(*keys, "effective_from", "effective_to", "version_key", F.lit(1).alias("_has"))
-    p = prev_within_key(v, keys, ["effective_from", "version_key"], ["effective_to", "_has"],
-                        F.date_trunc("day", F.col("effective_from")))
+    p = prev_within_key(v, keys, ["effective_from", "version_key"], ["effective_to", "_has"])
     prev_to = F.col("prev_effective_to")
     bad = F.col("prev__has").isNotNull() & (prev_to.isNull() | (prev_to > F.col("effective_from")))
     return _one(name, p.agg(F.count_if(bad).alias("actual")))

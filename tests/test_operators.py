@@ -201,6 +201,27 @@ def test_segmented_prev_next_match_window(spark):
     assert a == b
 
 
+def test_heavy_keys_are_sliced_and_results_unchanged(spark):
+    from snapstar.operators.segmented import hot_key_buckets
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        key = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 40)}"
+        rows.append((key, TS(2024, 1, 1) + dt.timedelta(seconds=rnd.randint(0, 86400 * 3)), i, rnd.choice("abc")))
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id int, v string")
+    sizes = hot_key_buckets(df, ["k"], "ts", max_rows=100).groupBy("k", "_seg_bucket").count()
+    per_key = {r["k"]: r for r in sizes.groupBy("k").agg(F.count(F.lit(1)).alias("nb"), F.max("count").alias("mx")).collect()}
+    assert per_key["hot"]["nb"] >= 10  # ~1200 rows cut into ~12 slices
+    assert all(r["nb"] == 1 for k, r in per_key.items() if k != "hot")
+    seg = next_within_key(prev_within_key(df, ["k"], ["ts", "id"], ["v", "id"], max_rows=100),
+                          ["k"], ["ts", "id"], ["v"], max_rows=100)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    ref = df.select("id", F.lag("v").over(w).alias("pv"), F.lag("id").over(w).alias("pid"), F.lead("v").over(w).alias("nv"))
+    a = {r["id"]: (r["prev_v"], r["prev_id"], r["next_v"]) for r in seg.collect()}
+    b = {r["id"]: (r["pv"], r["pid"], r["nv"]) for r in ref.collect()}
+    assert a == b
+
+
 # --- as-of join -----------------------------------------------------------------------
 
 
@@ -235,6 +256,8 @@ def test_as_of_strategies_agree_with_range_join_under_skew(spark):
         "user_id", "version_key", "effective_from", "effective_to")
     f = events.select("event_id", "user_id", "ts")
     a = {tuple(r) for r in as_of_join(f, v, ["user_id"], "ts", strategy="sorted").select("event_id", "version_key").collect()}
+    a2 = {tuple(r) for r in as_of_join(f, v, ["user_id"], "ts", strategy="sorted", max_rows=50).select("event_id", "version_key").collect()}
+    assert a == a2
     b = {tuple(r) for r in as_of_join(f, v, ["user_id"], "ts", strategy="broadcast").select("event_id", "version_key").collect()}
     cond = (f.user_id == v.user_id) & (f.ts >= v.effective_from) & (v.effective_to.isNull() | (f.ts < v.effective_to))
     c = {tuple(r) for r in f.join(v, cond).select("event_id", "version_key").collect()}
