@@ -53,6 +53,11 @@ def row_count(name: str, df: DataFrame) -> DataFrame:
     return _one(name, df.agg(F.count(F.lit(1)).alias("actual")), expected=None)
 
 
+def zero_rows(name: str, df: DataFrame) -> DataFrame:
+    """actual = rows of ``df`` (a set of offending rows), expected 0."""
+    return _one(name, df.agg(F.count(F.lit(1)).alias("actual")))
+
+
 def non_empty(name: str, df: DataFrame) -> DataFrame:
     """actual = 1 if the table has rows (a bounded probe, not a full count)."""
     probe = df.limit(1).agg(F.count(F.lit(1)).alias("actual"))
