@@ -121,7 +121,9 @@ def overlapping_versions(name: str, dim: DataFrame, keys: Sequence[str]) -> Data
 def orphans(name: str, child: DataFrame, parent: DataFrame, child_keys: Sequence[str], parent_keys: Sequence[str] | None = None) -> DataFrame:
     """Child rows whose (non-null) key has no parent row."""
     parent_keys = list(parent_keys or child_keys)
-    p = parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_keys, child_keys)]).distinct()
+    # An anti-join ignores parent duplicates, so no distinct (and no extra
+    # shuffle) on the parent side.
+    p = parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_keys, child_keys)])
     c = child.select(*child_keys)
     for k in child_keys:
         c = c.filter(F.col(k).isNotNull())
@@ -141,7 +143,7 @@ def reconcile(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
 
 def set_difference(name: str, left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys in ``left`` absent from ``right``."""
-    d = left.select(*keys).distinct().join(right.select(*keys).distinct(), on=list(keys), how="left_anti")
+    d = left.select(*keys).distinct().join(right.select(*keys), on=list(keys), how="left_anti")
     return _one(name, d.agg(F.count(F.lit(1)).alias("actual")))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapstar.functions import json as J
 from snapstar.functions.keys import array_text, hash_key
 from snapstar.functions.labels import is_disrupted, is_good_service
 from snapstar.functions.time import LOCAL_TZ, local_date_key, to_local
@@ -23,6 +24,73 @@ from snapstar.plans import serving as S
 # Row rules (true = good row)
 # ---------------------------------------------------------------------------
 
+# ---------------------------------------------------------------------------
+# Fixed values of the source contracts (must equal the source APIs' layout):
+#   line status elements: id, name, modeName, lineStatuses
+#   weather top level: latitude, longitude, timezone, current
+#   weather current variables: time, temperature_2m, relative_humidity_2m,
+#     precipitation, rain, weather_code, cloud_cover, wind_speed_10m,
+#     wind_gusts_10m
+#   holidays region: england-and-wales; each event: title, date
+# ---------------------------------------------------------------------------
+LINE_STATUS_FIELDS = ["id", "name", "modeName", "lineStatuses"]
+WEATHER_FIELDS = ["latitude", "longitude", "timezone", "current"]
+WEATHER_CURRENT = ["time", "temperature_2m", "relative_humidity_2m", "precipitation", "rain",
+                   "weather_code", "cloud_cover", "wind_speed_10m", "wind_gusts_10m"]
+HOLIDAY_REGION = "england-and-wales"
+HOLIDAY_EVENT_FIELDS = ["title", "date"]
+# Display-name suffixes removed, in this order: " Underground Station", " Underground"
+STATION_NAME_SUFFIXES = [" Underground Station", " Underground"]
+
+
+def short_station_name(name):
+    """Display name without the suffixes above (literal replacement)."""
+    c = F.col(name) if isinstance(name, str) else name
+    for suffix in STATION_NAME_SUFFIXES:
+        c = F.replace(c, F.lit(suffix), F.lit(""))
+    return c
+
+
+def _http_ok() -> Q.Rule:
+    return Q.Rule("http_status_200", F.col("http_status") == 200)
+
+
+def line_status_contract() -> list[Q.Rule]:
+    """Non-empty array; every element carries the line fields."""
+    return [_http_ok(), Q.Rule("line_array_with_fields", J.array_contract("payload", LINE_STATUS_FIELDS))]
+
+
+def stop_points_contract() -> list[Q.Rule]:
+    """Object root holding a non-empty ``stopPoints`` array."""
+    sp = F.get_json_object("payload", "$.stopPoints")
+    return [_http_ok(),
+            Q.Rule("object_root", J.root_kind("payload") == "object"),
+            Q.Rule("stop_points_non_empty", F.json_array_length(sp) > 0)]
+
+
+def arrivals_contract() -> list[Q.Rule]:
+    """Array root; an empty list is a valid answer."""
+    return [_http_ok(), Q.Rule("array_root", F.json_array_length("payload").isNotNull())]
+
+
+def weather_contract() -> list[Q.Rule]:
+    """Object root with the top-level fields; ``current`` an object holding
+    a time and every requested variable."""
+    cur = F.get_json_object("payload", "$.current")
+    return [_http_ok(),
+            Q.Rule("weather_fields", J.has_keys("payload", WEATHER_FIELDS)),
+            Q.Rule("current_variables", J.has_keys(cur, WEATHER_CURRENT))]
+
+
+def holidays_contract(region: str = HOLIDAY_REGION) -> list[Q.Rule]:
+    """Region object present with a non-empty ``events`` array whose every
+    event has a title and a date."""
+    events = F.get_json_object("payload", f"$['{region}'].events")
+    return [_http_ok(),
+            Q.Rule("region_present", J.has_keys("payload", [region])),
+            Q.Rule("events_with_fields", J.array_contract(events, HOLIDAY_EVENT_FIELDS))]
+
+
 def line_status_rules() -> list[Q.Rule]:
     return Q.not_null("request_id", "line_id", "line_name", "snapshot_at", "status_severity")
 

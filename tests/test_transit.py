@@ -192,3 +192,34 @@ def test_bronze_to_silver_stream_equals_batch(spark, tmp_path):
     got = spark.read.parquet(silver)
     assert got.count() == 3 and got.exceptAll(batch_valid).count() == 0 and batch_valid.exceptAll(got).count() == 0
     assert spark.read.parquet(bad).count() == batch_invalid.count() == 1
+
+
+def test_source_contracts(spark):
+    good_ls = _line_payload([("victoria", "Victoria", [(0, 10, "Good Service", None)])])
+    good_sp = json.dumps({"stopPoints": [{"id": "S1"}]})
+    good_wx = json.dumps({"latitude": 1, "longitude": 2, "timezone": "Europe/London",
+                          "current": {v: 1 for v in TR.WEATHER_CURRENT}})
+    good_hol = json.dumps({"england-and-wales": {"division": "x", "events": [{"title": "t", "date": "2024-01-01"}]}})
+    cases = [
+        (TR.line_status_contract, good_ls, True), (TR.line_status_contract, "[]", False),
+        (TR.line_status_contract, json.dumps([{"id": "a", "name": "b", "modeName": "tube"}]), False),
+        (TR.stop_points_contract, good_sp, True), (TR.stop_points_contract, json.dumps({"stopPoints": []}), False),
+        (TR.stop_points_contract, "[]", False),
+        (TR.arrivals_contract, "[]", True), (TR.arrivals_contract, "{oops", False),
+        (TR.weather_contract, good_wx, True),
+        (TR.weather_contract, json.dumps({"latitude": 1, "longitude": 2, "timezone": "x", "current": {"time": "t"}}), False),
+        (TR.holidays_contract, good_hol, True),
+        (TR.holidays_contract, json.dumps({"england-and-wales": {"events": [{"title": "t"}]}}), False),
+        (TR.holidays_contract, json.dumps({"scotland": {"events": []}}), False),
+    ]
+    for i, (contract, payload, ok) in enumerate(cases):
+        b = _bronze(spark, [(f"r{i}", "x", "/x", TS(2024, 1, 1), payload)])
+        valid, invalid = Q.split(b, contract())
+        assert (valid.count() == 1) == ok, (contract.__name__, payload)
+    bad_status = _bronze(spark, [("r", "x", "/x", TS(2024, 1, 1), "[]")]).withColumn("http_status", F.lit(500))
+    assert Q.split(bad_status, TR.arrivals_contract())[0].count() == 0
+
+
+def test_short_station_name(spark):
+    df = spark.createDataFrame([("King's Cross St. Pancras Underground Station",), ("Bank Underground",), ("Stratford",)], "n string")
+    assert [r[0] for r in df.select(TR.short_station_name("n")).collect()] == ["King's Cross St. Pancras", "Bank", "Stratford"]
