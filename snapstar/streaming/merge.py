@@ -17,6 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,23 +27,43 @@ from snapstar.sources.landing import BRONZE_SCHEMA, bronze_from_files
 from snapstar.sources.tables import new_rows
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
-def insert_only_batch(target_path: str, keys: Sequence[str]):
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # PATH_NOT_FOUND on the first batch
+        return None
+
+
+def _append_new(batch: DataFrame, target_path: str, keys: Sequence[str], partition_by: str | None,
+                null_safe: Sequence[str] = ()) -> None:
+    """Append the batch rows whose key is not in the target yet.
+
+    With ``partition_by`` the target is partitioned on that column (e.g. the
+    ingestion date) and only the partitions present in the batch are read
+    for the existence check - a replayed batch can only collide with rows of
+    its own partitions, so each micro-batch reads a bounded slice of the
+    target instead of all of it.
+    """
+    spark = batch.sparkSession
+    src = batch.dropDuplicates(list(keys))
+    existing = _read_if_exists(spark, target_path)
+    if existing is not None:
+        if partition_by:
+            wanted = src.select(partition_by).distinct()
+            existing = existing.join(wanted, on=partition_by, how="left_semi")
+        src = new_rows(existing, src, keys, null_safe)
+    writer = src.write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(target_path)
+
+
+def insert_only_batch(target_path: str, keys: Sequence[str], partition_by: str | None = None):
     """foreachBatch function: append the batch's unseen keys to a parquet
     target (created on first use)."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        src = batch.dropDuplicates(list(keys))
-        if _path_exists(spark, target_path):
-            src = new_rows(spark.read.parquet(target_path), src, keys)
-        src.write.mode("append").parquet(target_path)
+        _append_new(batch, target_path, keys, partition_by)
 
     return run
 
@@ -56,6 +77,7 @@ def stream_insert_only(
     max_files_per_trigger: int | None = None,
     source_dir: str | None = None,
     glob: str | None = None,
+    partition_by: str | None = None,
 ) -> None:
     """Run the parquet file stream to completion (availableNow).
 
@@ -69,7 +91,7 @@ def stream_insert_only(
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.parquet(source_dir or source_path)
     q = (
-        stream.writeStream.foreachBatch(insert_only_batch(target_path, keys))
+        stream.writeStream.foreachBatch(insert_only_batch(target_path, keys, partition_by))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -90,7 +112,7 @@ def stream_landing_to_bronze(spark: SparkSession, landing: str, target_path: str
     )
     bronze = bronze_from_files(raw)
     q = (
-        bronze.writeStream.foreachBatch(insert_only_batch(target_path, ["request_id"]))
+        bronze.writeStream.foreachBatch(insert_only_batch(target_path, ["request_id"], "ingestion_date"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -99,20 +121,20 @@ def stream_landing_to_bronze(spark: SparkSession, landing: str, target_path: str
 
 
 def silver_batch(transform, rules, keys: Sequence[str], target_path: str, quarantine_path: str,
-                 null_safe: Sequence[str] = ()):
+                 null_safe: Sequence[str] = (), partition_by: str | None = "ingestion_date"):
     """foreachBatch function for bronze -> silver: flatten, split by the
     rules (invalid rows go to a quarantine table with ``failed_rules``), and
-    insert the valid rows whose key is new.  Replays add nothing."""
+    insert the valid rows whose key is new (checked against the target's
+    partitions of this batch only).  Replays add nothing."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
         rows = transform(batch)
         valid, invalid = Q.split(rows, rules())
-        invalid.write.mode("append").parquet(quarantine_path)
-        src = valid.dropDuplicates(list(keys))
-        if _path_exists(spark, target_path):
-            src = new_rows(spark.read.parquet(target_path), src, keys, null_safe)
-        src.write.mode("append").parquet(target_path)
+        qw = invalid.write.mode("append")
+        if partition_by:
+            qw = qw.partitionBy(partition_by)
+        qw.parquet(quarantine_path)
+        _append_new(valid, target_path, keys, partition_by, null_safe)
 
     return run
 
