@@ -124,11 +124,34 @@ def log_load(spark: SparkSession, log_table: str, table_name: str, operation: st
     df.withColumn("logged_at", F.current_timestamp()).write.mode("append").saveAsTable(log_table)
 
 
-def append(df: DataFrame, name: str) -> None:
-    df.write.mode("append").saveAsTable(name)
+def laid_out(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+    """Physical layout before a write.
+
+    * ``partition_by`` (e.g. a date): rows are first shuffled on the
+      partition columns so each table partition is written by few tasks -
+      few large files instead of one small file per task and partition;
+    * ``sort_by`` (e.g. ``snapshot_at``): sorted within each file, so
+      parquet min/max statistics let later filters on that column (latest
+      snapshot, latest day) skip row groups.
+    """
+    if partition_by:
+        df = df.repartition(*partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
+    return df
+
+
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str], sort_by: Sequence[str]):
+    w = laid_out(df, partition_by, sort_by).write.mode(mode)
+    return w.partitionBy(*partition_by) if partition_by else w
 
 
-def replace(spark: SparkSession, df: DataFrame, name: str) -> None:
+def append(df: DataFrame, name: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    _writer(df, "append", partition_by, sort_by).saveAsTable(name)
+
+
+def replace(spark: SparkSession, df: DataFrame, name: str, partition_by: Sequence[str] = (),
+            sort_by: Sequence[str] = ()) -> None:
     """Full replace with schema overwrite through a staged table.
 
     ``df`` may read ``name``: the staged write finishes before the old table
@@ -137,7 +160,7 @@ def replace(spark: SparkSession, df: DataFrame, name: str) -> None:
     """
     staged = f"{name}__staged"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    df.write.mode("overwrite").saveAsTable(staged)
+    _writer(df, "overwrite", partition_by, sort_by).saveAsTable(staged)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
@@ -150,16 +173,24 @@ def recover(spark: SparkSession, name: str) -> None:
 
 
 def merge_insert_only(
-    spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], null_safe: Sequence[str] = ()
+    spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], null_safe: Sequence[str] = (),
+    partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
 ) -> str:
     """Create the table from ``source`` or append its unseen keys.
-    Returns ``"created"`` or ``"merged"``."""
+    Returns ``"created"`` or ``"merged"``.
+
+    With ``partition_by`` columns that are part of the key (e.g. the
+    ingestion date), the existence check reads only the target partitions
+    present in the source."""
     recover(spark, name)
     src = source.dropDuplicates(list(keys))
     if not table_exists(spark, name):
-        src.write.mode("overwrite").saveAsTable(name)
+        _writer(src, "overwrite", partition_by, sort_by).saveAsTable(name)
         return "created"
-    append(new_rows(spark.table(name), src, keys, null_safe), name)
+    target = spark.table(name)
+    if partition_by and set(partition_by) <= set(keys):
+        target = target.join(src.select(*partition_by).distinct(), on=list(partition_by), how="left_semi")
+    append(new_rows(target, src, keys, null_safe), name, partition_by, sort_by)
     return "merged"
 
 

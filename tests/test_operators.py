@@ -486,3 +486,16 @@ def test_audit_history_latest_run_failures(spark):
     assert [r["check_name"] for r in A.latest_run_failures(hist).collect()] == ["b"]
     summary = {(r["validation_run_id"], r["status"]): r["checks"] for r in A.run_summary(hist).collect()}
     assert summary == {("run1", "FAIL"): 1, ("run2", "PASS"): 1, ("run2", "FAIL"): 1}
+
+
+def test_partitioned_insert_only_and_layout(spark):
+    spark.sql("DROP TABLE IF EXISTS t_part")
+    src = spark.createDataFrame([("r1", dt.date(2024, 1, 1), TS(2024, 1, 1, 9)), ("r2", dt.date(2024, 1, 2), TS(2024, 1, 2, 9))],
+                                "request_id string, ingestion_date date, snapshot_at timestamp")
+    keys = ["request_id", "ingestion_date"]
+    assert T.merge_insert_only(spark, src, "t_part", keys, partition_by=["ingestion_date"], sort_by=["snapshot_at"]) == "created"
+    more = spark.createDataFrame([("r2", dt.date(2024, 1, 2), TS(2024, 1, 2, 9)), ("r3", dt.date(2024, 1, 3), TS(2024, 1, 3, 9))],
+                                 "request_id string, ingestion_date date, snapshot_at timestamp")
+    assert T.merge_insert_only(spark, more, "t_part", keys, partition_by=["ingestion_date"], sort_by=["snapshot_at"]) == "merged"
+    assert sorted(r["request_id"] for r in spark.table("t_part").collect()) == ["r1", "r2", "r3"]
+    assert "ingestion_date" in [c.name for c in spark.catalog.listColumns("t_part") if c.isPartition]
