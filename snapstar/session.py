@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold at any scale.  Shuffle partition counts are left to AQE:
 # it starts from spark.sql.shuffle.partitions and coalesces small partitions
@@ -104,3 +105,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="snapstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and reading it back.
+
+    One computation and one write; readers get column pruning and filter
+    pushdown, and the files survive executor loss.  Used between chained
+    operators that each read their input in several branches, where the
+    recomputation would otherwise multiply.  (An RDD ``checkpoint()``
+    computes the plan twice unless it is cached first.)
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

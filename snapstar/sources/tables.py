@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.session import ensure_checkpoint_dir
+from snapstar.session import stage  # noqa: F401  (re-exported: lineage cut in the shared folder)
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> Column:
@@ -79,21 +79,6 @@ def expire_frame(
     )
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
-    folder (``spark.checkpoint.dir``) and reading it back.
-
-    One computation and one write; later readers get column pruning and
-    filter pushdown, and the files survive executor loss.  (An RDD
-    ``checkpoint()`` computes the plan twice unless it is cached first.)
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 # --------------------------------------------------------------------------
 # Catalog writers
 # --------------------------------------------------------------------------
