@@ -53,6 +53,15 @@ def row_count(name: str, df: DataFrame) -> DataFrame:
     return _one(name, df.agg(F.count(F.lit(1)).alias("actual")), expected=None)
 
 
+def table_exists(spark, name: str, table: str) -> DataFrame:
+    """Existence probe of a catalog table as a check row (catalog metadata,
+    no data read)."""
+    found = 1 if spark.catalog.tableExists(table) else 0
+    return spark.range(1).select(
+        F.lit(name).alias("check_name"), F.lit(found).cast("bigint").alias("actual_value"),
+        F.lit(1).cast("bigint").alias("expected_value"))
+
+
 def zero_rows(name: str, df: DataFrame) -> DataFrame:
     """actual = rows of ``df`` (a set of offending rows), expected 0."""
     return _one(name, df.agg(F.count(F.lit(1)).alias("actual")))

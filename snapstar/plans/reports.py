@@ -126,3 +126,8 @@ def degree(pairs: DataFrame, node: str, other: str, name: str) -> DataFrame:
     """Per node: number of distinct partners in a pair table (lines per
     station, stations per line)."""
     return pairs.groupBy(node).agg(F.count_distinct(other).alias(name))
+
+
+def not_between(col: str, lo, hi) -> Column:
+    """``NOT BETWEEN`` predicate (null stays null, so a filter drops it)."""
+    return ~F.col(col).between(lo, hi)

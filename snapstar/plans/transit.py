@@ -164,6 +164,15 @@ def arrival_summary_rules() -> list[Q.Rule]:
     ]
 
 
+def dim_date_rules() -> list[Q.Rule]:
+    """Calendar cross-field checks: keys present, weekend flag agrees with
+    the day name."""
+    return [
+        *Q.not_null("date_key", "calendar_date"),
+        Q.Rule("weekend_matches_day_name", F.col("is_weekend") == F.col("day_name").isin("Saturday", "Sunday")),
+    ]
+
+
 def daily_kpi_rules() -> list[Q.Rule]:
     return [
         *Q.not_null("date_key", "calendar_date"),

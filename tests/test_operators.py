@@ -501,3 +501,20 @@ def test_partitioned_insert_only_and_layout(spark):
     assert T.merge_insert_only(spark, more, "t_part", keys, partition_by=["ingestion_date"], sort_by=["snapshot_at"]) == "merged"
     assert sorted(r["request_id"] for r in spark.table("t_part").collect()) == ["r1", "r2", "r3"]
     assert "ingestion_date" in [c.name for c in spark.catalog.listColumns("t_part") if c.isPartition]
+
+
+def test_shared_names_box_exists_and_calendar_rules(spark):
+    from snapstar.plans import transit as TR
+    dim = spark.createDataFrame([("Bank", "S1", 51.5, -0.1), ("Bank", "S2", 51.5, -0.1), ("Angel", "S3", 91.0, 0.0),
+                                 ("Nil", "S4", None, None)], "name string, id string, lat double, lon double")
+    shared = D.shared_names(dim, "name", "id").collect()
+    assert [(r["name"], r["ids"], r["id_list"]) for r in shared] == [("Bank", 2, ["S1", "S2"])]
+    assert sorted(r["id"] for r in D.outside_box(dim, "lat", "lon", (51.2, 51.8), (-0.6, 0.4)).collect()) == ["S3", "S4"]
+    spark.sql("DROP TABLE IF EXISTS t_exists")
+    spark.range(1).write.saveAsTable("t_exists")
+    res = {r["check_name"]: r["status"] for r in A.suite([A.table_exists(spark, "a", "t_exists"), A.table_exists(spark, "b", "t_missing")]).collect()}
+    assert res == {"a": "PASS", "b": "FAIL"}
+    cal = D.calendar(spark, "2024-01-01", "2024-12-31")
+    assert Q.split(cal, TR.dim_date_rules())[1].count() == 0
+    bad = cal.withColumn("is_weekend", F.lit(False))
+    assert Q.split(bad, TR.dim_date_rules())[1].count() == 104
