@@ -236,10 +236,12 @@ def test_as_of_join_boundaries(spark, strategy):
     facts = spark.createDataFrame(
         [(1, "L1", TS(2023, 12, 31)), (2, "L1", TS(2024, 1, 1)), (3, "L1", TS(2024, 1, 4, 23)),
          (4, "L1", TS(2024, 1, 5)), (5, "L1", TS(2024, 3, 1)), (6, "L2", TS(2024, 1, 2)), (7, "L3", TS(2024, 1, 9)),
-         (8, "L2", TS(2024, 2, 9))],
+         (8, "L2", TS(2024, 2, 9)), (9, None, TS(2024, 2, 9))],
         "id int, line_id string, ts timestamp",
     )
-    got = {r["id"]: r["line_key"] for r in as_of_join(facts, _versions(spark), ["line_id"], "ts", strategy=strategy).collect()}
+    versions = _versions(spark).unionByName(spark.createDataFrame(
+        [(None, "knull", TS(2020, 1, 1), None)], "line_id string, line_key string, effective_from timestamp, effective_to timestamp"))
+    got = {r["id"]: r["line_key"] for r in as_of_join(facts, versions, ["line_id"], "ts", strategy=strategy).collect()}
     # before the first version and unknown keys drop (inner); a fact exactly
     # at effective_to belongs to the newer version
     assert got == {2: "k1", 3: "k1", 4: "k2", 5: "k2", 8: "k3"}
