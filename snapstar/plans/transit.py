@@ -340,11 +340,22 @@ def build_current_line_status(fact: DataFrame, dim_line: DataFrame) -> DataFrame
 
 
 def build_station_arrival_summary(fact: DataFrame, dim_station: DataFrame, dim_line: DataFrame,
-                                  tz: str = LOCAL_TZ) -> DataFrame:
-    """Latest London day per station x line version, restricted to current
-    versions (observations of an entity's older version drop out on the day
-    it changes, as in the reference)."""
+                                  tz: str = LOCAL_TZ, by_business_key: bool = False) -> DataFrame:
+    """Latest London day per station x line, restricted to current versions.
+
+    Default: grouped by the facts' version keys, so on a day an entity
+    changes, its observations of the older version drop out (the reference
+    behaviour).  ``by_business_key=True`` groups by station and line ids and
+    attaches the current version, keeping every observation of the day.
+    """
     day = S.latest_local_day(fact, "prediction_timestamp", tz)
+    if by_business_key:
+        cur_st = dim_station.filter(F.col("is_current")).select(
+            F.col("station_id").alias("requested_station_id"), F.col("station_key").alias("_cur_station_key"))
+        cur_ln = dim_line.filter(F.col("is_current")).select("line_id", F.col("line_key").alias("_cur_line_key"))
+        day = (day.join(cur_st, on="requested_station_id", how="inner").join(cur_ln, on="line_id", how="inner")
+               .withColumn("station_key", F.col("_cur_station_key")).withColumn("line_key", F.col("_cur_line_key"))
+               .drop("_cur_station_key", "_cur_line_key"))
     agg = day.groupBy("station_key", "line_key", "requested_station_id", "line_id").agg(
         F.count(F.lit(1)).alias("arrival_observations"),
         F.count_distinct("vehicle_id").alias("distinct_vehicles"),

@@ -120,3 +120,16 @@ def test_gates_fire(spark, gold):
     only_l1 = gold["silver_line_status"].filter("line_id = 'L1'")
     with pytest.raises(J.StageError):  # L2 vanished from the newest snapshot
         J.dim_line(only_l1.withColumn("snapshot_at", F.lit(TS(2024, 8, 24)).cast("timestamp")), current=gold["dim_line"])
+
+
+def test_summary_by_business_key_keeps_observations_of_older_versions(spark, gold):
+    from snapstar.plans import transit as TR
+    fact = gold["fact_arrival_observation"]
+    # Pretend line L1 changed after the facts were built: its facts carry an
+    # expired version key, the current version has a new key.
+    dl = gold["dim_line"].withColumn("line_key", F.when(F.col("line_id") == "L1", F.concat(F.col("line_key"), F.lit("-new")))
+                                     .otherwise(F.col("line_key")))
+    default = {(r["station_id"], r["line_id"]) for r in TR.build_station_arrival_summary(fact, gold["dim_station"], dl).collect()}
+    by_id = {(r["station_id"], r["line_id"]) for r in
+             TR.build_station_arrival_summary(fact, gold["dim_station"], dl, by_business_key=True).collect()}
+    assert default == {("S1", "L2")} and by_id == {("S1", "L1"), ("S1", "L2")}
