@@ -41,7 +41,7 @@ from snapstar.operators.scd2 import (
 from snapstar.plans import dims as D
 from snapstar.plans import reports as R
 from snapstar.plans import serving as S
-from snapstar.session import ensure_checkpoint_dir, ensure_utc
+from snapstar.session import ensure_utc
 from snapstar.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
