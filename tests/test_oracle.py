@@ -6,7 +6,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from snapstar.plans.catalog import queries
+from snapstar.plans.oracle import oracle_sql
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
