@@ -7,13 +7,35 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapstar.llm import bpe, exact_dedup, sharding
+from snapstar.llm import bpe, divergence, exact_dedup, licenses, mixing, ngram_join, sharding, surrogates, toxicity, warc
 from snapstar.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"), words=3, num=9, den=10).drop("node")
+
+
+#: Target shares of the labelled table's domains.
+MIX = {"clean": 0.9, "poor": 0.07, "toxic": 0.03}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.label_domains(table(spark, sf_dir, "labels")), MIX)
+    return mixed.select("doc_id", "n_tokens", *[F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(sorted(MIX))], "rate")
+
+
+#: The key of the registered query; a user gives their own.
+SURROGATE_KEY = b"surrogates of the registered query"
+
+
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op4_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
@@ -22,10 +44,27 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_folder(spark)
+    return warc.read(warc.write(table(spark, sf_dir, "pages"), out, min_bytes=0), out)
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
@@ -37,7 +76,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_minimax_sharding, op5_exact_dedup, op8_byte_bpe)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_surrogates, op4_minimax_sharding, op5_exact_dedup, op6_toxicity, op7_divergence,
+                                 op8_byte_bpe, op9_warc, op10_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,261 @@
+"""Surrogates for personal data.
+
+Detected entities (mail addresses, telephone numbers, IP addresses, payment
+cards, access keys, names of persons) are replaced by keyed surrogates of the same
+type.  A surrogate keeps the format: letters stay letters of the same case and
+script, digits stay digits, separators stay where they are; cards keep their
+leading digit and a valid check digit, telephone numbers their country code, and
+given names are drawn from names of the same gender and script.
+
+Each surrogate comes from a keyed permutation of all strings of its format, so
+the same value gets the same surrogate in every document (coreference) and
+different values of one format get different ones (distinctness).  The distinct
+surrogates of the corpus are checked all the same: a surrogate that two values
+share, or that is itself a value found in the corpus, is drawn again with the
+next attempt number.  Values that needed that are joined to the documents that
+hold them; all others are replaced where they stand, without a lookup.
+
+Rows: null text stays null; empty and clean texts stay as they are; repeated rows
+are replaced alike; an empty table gives an empty result; further columns are
+ignored.  Texts of any length are read whole.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import hmac
+import ipaddress
+import re
+import string
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from snapstar.llm.common import map_arrow
+from snapstar.session import stage
+
+MAX_ATTEMPTS = 8
+
+# Given names by gender and script, in alphabetical order.
+GIVEN = {
+    ("f", "latin"): ["Alice", "Anna", "Carla", "Clara", "Elena", "Emma", "Julia", "Laura", "Maria", "Marie", "Olivia", "Sarah", "Sophie"],
+    ("m", "latin"): ["Adam", "Carlos", "Daniel", "David", "Jean", "John", "Lukas", "Michael", "Pablo", "Paul", "Peter", "Robert", "Thomas"],
+    ("f", "cyrillic"): ["Анна", "Вера", "Елена", "Ирина", "Мария", "Наталья", "Ольга"],
+    ("m", "cyrillic"): ["Алексей", "Борис", "Виктор", "Иван", "Николай", "Олег", "Павел"],
+    ("f", "greek"): ["Άννα", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία"],
+    ("m", "greek"): ["Αλέξανδρος", "Γιώργος", "Δημήτρης", "Νίκος", "Πέτρος"],
+}
+_GENDER = {name: key for key, names in GIVEN.items() for name in names}
+
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_NAME = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
+PATTERNS = re.compile("|".join((
+    r"(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w@]))",
+    r"(?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))",
+    rf"(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\w))",
+    r"(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]))",
+    r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
+    r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w+])\+\d{8,14}(?!\w))",
+    rf"(?P<name>(?<!\w)(?:{_NAME})\s[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+(?!\w))",
+)))
+#: A text without any of these cannot hold an entity but a name.
+_HINT = re.compile(r"\d|@")
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        n = int(c) * (1 + k % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def detected(text: str) -> list[tuple[str, int, int]]:
+    """(type, start, end) of the entities, from left to right."""
+    found = []
+    if not _HINT.search(text) and not any(n in text for n in _GENDER):
+        return found
+    for m in PATTERNS.finditer(text):
+        if m.lastgroup != "card" or luhn(re.sub(r"\D", "", m.group())):
+            found.append((m.lastgroup, *m.span()))
+    return found
+
+
+def canonical(kind: str, value: str) -> str:
+    """What makes two mentions the same entity."""
+    if kind == "email":
+        return value.lower()
+    if kind in ("card", "phone"):
+        return re.sub(r"[^\d+]", "", value)
+    return re.sub(r"\s+", " ", value) if kind == "name" else value
+
+
+class Permutation:
+    """Keyed permutations of 0 .. n-1: an unbalanced Feistel network over the next
+    power of four, walked until it is back in range."""
+
+    def __init__(self, key: bytes):
+        self.key = key
+
+    def __call__(self, tweak: str, n: int, x: int) -> int:
+        half = max(1, (n - 1).bit_length() + 1 >> 1)
+        mask = (1 << half) - 1
+        while True:
+            a, b = x >> half, x & mask
+            for k in range(8):
+                digest = hmac.digest(self.key, f"{tweak}|{n}|{k}|{b}".encode(), hashlib.sha256)
+                a, b = b, a ^ (int.from_bytes(digest, "big") & mask)
+            x = a << half | b
+            if x < n:
+                return x
+
+
+_ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase, "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
+              "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
+_PLACE = {c: (a, k) for a in _ALPHABETS for k, c in enumerate(a)}
+
+
+def permuted(perm: Permutation, tweak: str, value: str) -> str:
+    """``value`` with its letters and digits replaced by others of the same
+    alphabets; one to one among the strings of its format."""
+    places = [_PLACE.get(c) for c in value]
+    n = x = 1
+    x = 0
+    for p in places:
+        if p:
+            n, x = n * len(p[0]), x * len(p[0]) + p[1]
+    if n == 1:
+        return value
+    form = "".join(p[0][0] if p else c for p, c in zip(places, value))
+    y = perm(f"{tweak}|{form}", n, x)
+    out = []
+    for p, c in zip(reversed(places), reversed(value)):
+        if p:
+            y, k = divmod(y, len(p[0]))
+            c = p[0][k]
+        out.append(c)
+    return "".join(reversed(out))
+
+
+def surrogate(perm: Permutation, kind: str, value: str, attempt: int = 0) -> str:
+    """The surrogate of a canonical value."""
+    tweak = f"{kind}|{attempt}"
+    if kind == "email":
+        local, _, domain = value.rpartition("@")
+        labels = domain.split(".")
+        return f"{permuted(perm, tweak + domain, local)}@{'.'.join([*(permuted(perm, tweak, d) for d in labels[:-1]), labels[-1]])}"
+    if kind == "ip":
+        n = int(ipaddress.IPv4Address(".".join(str(int(o)) for o in value.split("."))))
+        return str(ipaddress.IPv4Address(perm(tweak, 1 << 32, n)))
+    if kind == "card":
+        body = value[0] + permuted(perm, tweak + value[0], value[1:-1])
+        return next(body + str(c) for c in range(10) if luhn(body + str(c)))
+    if kind == "phone":
+        m = re.match(r"\+\d{1,3}(?=\d{10}$)", value)
+        head = m.group() if m else ""
+        return head + permuted(perm, tweak + head, value[len(head):])
+    if kind == "key":
+        return value[:4] + permuted(perm, tweak, value[4:])
+    if kind == "name":
+        given, _, rest = value.partition(" ")
+        names = GIVEN[_GENDER[given]]
+        # A keyed rotation: one to one, and never the name itself.
+        turn = 1 + int.from_bytes(hmac.digest(perm.key, f"{tweak}|{rest}|{_GENDER[given]}".encode(), hashlib.sha256)[:8], "big") % (len(names) - 1)
+        return f"{names[(names.index(given) + turn) % len(names)]} {permuted(perm, tweak, rest)}"
+    return permuted(perm, tweak, value)
+
+
+def shaped(kind: str, mention: str, made: str) -> str:
+    """The surrogate in the mention's own format (separators, case)."""
+    if kind == "email":
+        return made.upper() if mention.isupper() else made
+    if kind in ("card", "phone"):
+        digits = iter(made)
+        return "".join(next(digits) if c.isdigit() or c == "+" else c for c in mention)
+    if kind == "name":
+        return re.sub(" ", lambda _: re.search(r"\s", mention).group(), made, count=1)
+    return made
+
+
+def entity_batches(batches):
+    for b in batches:
+        rows = set()
+        for i, t in zip(b.column(0), b.column(1)):
+            if t.is_valid:
+                text = t.as_py()
+                rows |= {(i.as_py(), k, canonical(k, text[s:e])) for k, s, e in detected(text)}
+        yield _batch(sorted(rows, key=str), ["doc_id", "kind", "value"])
+
+
+def _batch(rows, names):
+    cols = list(zip(*rows)) if rows else [()] * len(names)
+    kinds = {"doc_id": pa.int64(), "attempt": pa.int32()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.string())) for c, n in zip(cols, names)], names)
+
+
+def drawn_batches(batches, key):
+    perm = Permutation(key)
+    for b in batches:
+        rows = b.to_pylist()
+        yield _batch([(r["kind"], r["value"], r["attempt"], surrogate(perm, r["kind"], r["value"], r["attempt"])) for r in rows], ["kind", "value", "attempt", "made"])
+
+
+def replaced_batches(batches, key):
+    perm = Permutation(key)
+    for b in batches:
+        out = []
+        for i, t, other in zip(b.column(0), b.column(1), b.column(2)):
+            text = t.as_py()
+            if text is None:
+                out.append((i.as_py(), None, 0))
+                continue
+            special = {(x["kind"], x["value"]): x["made"] for x in other.as_py() or ()}
+            at, parts, found = 0, [], detected(text)
+            for k, s, e in found:
+                value = canonical(k, text[s:e])
+                made = special.get((k, value)) or surrogate(perm, k, value)
+                parts += [text[at:s], shaped(k, text[s:e], made)]
+                at = e
+            out.append((i.as_py(), "".join([*parts, text[at:]]), len(found)))
+        cols = list(zip(*out)) if out else [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], ["doc_id", "text", "n_replaced"])
+
+
+def _drawn(values: DataFrame, key: bytes) -> DataFrame:
+    return stage(map_arrow(values.select("kind", "value", "attempt"), "snapstar.llm.surrogates:drawn_batches",
+                           "kind string, value string, attempt int, made string", key=key), "surrogates")
+
+
+def surrogate_table(entities: DataFrame, key: bytes) -> DataFrame:
+    """``kind, value, attempt, made`` of all distinct values, checked: no two
+    values of a kind share a surrogate, and none is a value of the corpus."""
+    values = entities.select("kind", "value").distinct()
+    good = _drawn(values.withColumn("attempt", F.lit(0)), key)
+    every = good.select("kind", F.col("value").alias("made"))
+    for _ in range(MAX_ATTEMPTS):
+        # Of the values that share a surrogate the smallest keeps it.
+        first = good.groupBy("kind", "made").agg(F.min("value").alias("keeps"))
+        taken = every.withColumn("real", F.lit(True))
+        bad = (good.join(first, ["kind", "made"]).join(taken, ["kind", "made"], "left")
+               .where("value <> keeps OR real").select("kind", "value", (F.col("attempt") + 1).cast("int").alias("attempt")))
+        again = _drawn(bad, key)
+        if not again.limit(1).count():
+            return good
+        good = stage(good.join(again.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(again), "surrogates")
+    raise ValueError("too few surrogates for the values of some kind")
+
+
+def replace(docs: DataFrame, key: bytes) -> DataFrame:
+    """``doc_id, text, n_replaced`` of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    entities = stage(map_arrow(rows, "snapstar.llm.surrogates:entity_batches", "doc_id long, kind string, value string"), "entities")
+    special = surrogate_table(entities, key).where("attempt > 0")
+    if special.limit(1).count():
+        # A row for each document that holds such a value, with its own values.
+        per_doc = (entities.where("doc_id IS NOT NULL").distinct().join(special, ["kind", "value"])
+                   .groupBy("doc_id").agg(F.collect_list(F.struct("kind", "value", "made")).alias("special")))
+        rows = rows.join(per_doc, "doc_id", "left")
+    else:
+        rows = rows.withColumn("special", F.lit(None).cast("array<struct<kind:string,value:string,made:string>>"))
+    return map_arrow(rows.select("doc_id", "text", "special"), "snapstar.llm.surrogates:replaced_batches", "doc_id long, text string, n_replaced long", key=key)
