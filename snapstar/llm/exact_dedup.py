@@ -103,7 +103,7 @@ def _looked_up(docs: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     # The byte comparison: rows of one entry against the row that stays.
     shared = index.where("group_size > 1")
     again = texts.withColumn("h", F.xxhash64("t")).join(shared.select("h", "keep_id", "sha"), "h")
-    again = again.where(F.unhex(F.sha2("t", 256)) == F.col("sha"))
+    again = stage(again.where(F.unhex(F.sha2("t", 256)) == F.col("sha")), "hash-copies")
     heads = again.where(F.col("doc_id") == F.col("keep_id")).groupBy("h", "sha").agg(F.min("t").alias("head"))
     unequal = (again.join(heads, ["h", "sha"]).where(F.col("t") != F.col("head"))
                .groupBy("h", "sha", "t").agg(F.min("doc_id").alias("keep2"), F.count("*").alias("size2")))
