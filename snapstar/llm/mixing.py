@@ -5,7 +5,9 @@ every domain.  A document of ``n`` tokens and posterior ``p`` that is taken
 ``x`` times gives ``x * n * p[k]`` expected tokens to domain ``k``.  The rates
 ``x >= 0`` minimise the squared differences between the domains' expected totals
 and their targets (each domain scaled by the root of its diagonal in the Gram
-matrix) by accelerated projected gradients from ``x = 1``.
+matrix) by accelerated projected gradients from ``x = 1``.  Gradients are taken
+per token, so that documents with equal posteriors get equal rates, however long
+they are.
 
 A step needs the totals of all domains only, so an iteration is one aggregation
 of as many numbers as there are domains.  A document's rate follows from its own
@@ -167,30 +169,28 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
                      "doc_id long, n_tokens long, posterior array<double>", model=shared)
 
 
-def replayed(a: np.ndarray, steps: list[tuple[np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """The rates after ``steps`` (scaled residual, momentum) for rows ``a``, and
-    the point at which the next residual is taken."""
-    x = np.ones(len(a))
+def replayed(p: np.ndarray, steps: list[tuple[np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after ``steps`` (scaled residual, momentum) for rows of scaled
+    posteriors, and the point at which the next residual is taken."""
+    x = np.ones(len(p))
     y = x
     for residual, momentum in steps:
-        new = np.maximum(0.0, y - a @ residual)
+        new = np.maximum(0.0, y - p @ residual)
         y, x = new + momentum * (new - x), new
     return x, y
 
 
-def _vectors(b, columns=("n_tokens", "posterior")):
-    n = b.column(b.schema.get_field_index(columns[0])).to_numpy(zero_copy_only=False).astype(float)
-    p = b.column(b.schema.get_field_index(columns[1]))
-    return n[:, None] * np.array(p.to_pylist(), float).reshape(len(n), -1)
+def _posterior(b) -> np.ndarray:
+    return np.array(b.column(b.schema.get_field_index("posterior")).to_pylist(), float).reshape(b.num_rows, -1)
 
 
 def total_batches(batches, scale, steps):
     total = None
     for b in batches:
         if b.num_rows:
-            a = _vectors(b) * scale
-            _, y = replayed(a, steps)
-            part = y @ a
+            p = _posterior(b) * scale
+            _, y = replayed(p, steps)
+            part = (y * b.column(b.schema.get_field_index("n_tokens")).to_numpy(zero_copy_only=False)) @ p
             total = part if total is None else total + part
     if total is not None:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], ["k", "total"])
@@ -198,14 +198,14 @@ def total_batches(batches, scale, steps):
 
 def rate_batches(batches, scale, steps):
     for b in batches:
-        x = replayed(_vectors(b) * scale, steps)[0] if b.num_rows else np.zeros(0)
+        x = replayed(_posterior(b) * scale, steps)[0] if b.num_rows else np.zeros(0)
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(x)], [*b.schema.names, "rate"])
 
 
 def fit_rates(rows: DataFrame, target: np.ndarray, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE):
     """(scale, steps) for ``replayed`` from staged ``rows`` (n_tokens, posterior)."""
     k = len(target)
-    pair = lambda i, j: F.sum(F.col("n_tokens") * F.col("n_tokens") * F.col("posterior")[i] * F.col("posterior")[j])
+    pair = lambda i, j: F.sum(F.col("n_tokens") * F.col("posterior")[i] * F.col("posterior")[j])
     got = rows.agg(*[pair(i, j).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
     diagonal = np.diag(gram)

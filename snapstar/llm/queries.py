@@ -20,11 +20,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Target shares of the labelled table's domains.
-MIX = {"clean": 0.9, "poor": 0.07, "toxic": 0.03}
+MIX = {"clean": 0.95, "poor": 0.05}
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.label_domains(table(spark, sf_dir, "labels")), MIX)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.label_domains(table(spark, sf_dir, "labels")).where("domain <> 'toxic'"), MIX)
     return mixed.select("doc_id", "n_tokens", *[F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(sorted(MIX))], "rate")
 
 

@@ -36,7 +36,8 @@ TRIGRAMS = 1 << 13
 #: (longer ones are left out of training, never of scoring).
 SAMPLE_ROWS = 1_500
 SAMPLE_CHARS = 8_000
-EPOCHS = 5
+#: Passes over the sample, and steps at least (a small sample is passed more often).
+EPOCHS, MIN_STEPS = 5, 480
 #: Words whose projections a Python worker keeps.
 WORDS_KEPT = 300_000
 #: Windows that go through the network at a time.
@@ -203,7 +204,7 @@ def train(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOC
     net, rng = Network(vocabulary, seed), np.random.default_rng(seed)
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-MIN_STEPS // max(1, len(texts) // 32)))):
         order = rng.permutation(len(texts))
         for part in np.array_split(order, max(1, len(order) // 32)):
             number: dict[str, int] = {}
