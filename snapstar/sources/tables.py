@@ -74,6 +74,7 @@ def expire_frame(
     return (
         j.withColumn(to_col, F.when(hit, at.cast("timestamp")).otherwise(F.col(to_col).cast("timestamp")))
         .withColumn(current_col, F.when(hit, F.lit(False)).otherwise(F.col(current_col)))
+        .withColumns({c: F.when(hit, F.current_timestamp()).otherwise(F.col(c)) for c in ("updated_at",) if c in dim.columns})
         .drop("_chg")
         .select(*dim.columns)
     )
@@ -112,15 +113,16 @@ def log_load(spark: SparkSession, log_table: str, table_name: str, operation: st
 def laid_out(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Physical layout before a write.
 
-    * ``partition_by`` (e.g. a date): rows are first shuffled on the
-      partition columns so each table partition is written by few tasks -
-      few large files instead of one small file per task and partition;
+    * ``partition_by`` (e.g. a date): rows are first rebalanced on the
+      partition columns, so that a table partition gets few large files; unlike
+      a plain repartition, adaptive execution may split a partition that is
+      larger than the advisory size over several tasks;
     * ``sort_by`` (e.g. ``snapshot_at``): sorted within each file, so
       parquet min/max statistics let later filters on that column (latest
       snapshot, latest day) skip row groups.
     """
     if partition_by:
-        df = df.repartition(*partition_by)
+        df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     return df
@@ -159,7 +161,7 @@ def recover(spark: SparkSession, name: str) -> None:
 
 def merge_insert_only(
     spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], null_safe: Sequence[str] = (),
-    partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), log_table: str | None = None,
 ) -> str:
     """Create the table from ``source`` or append its unseen keys.
     Returns ``"created"`` or ``"merged"``.
@@ -171,20 +173,57 @@ def merge_insert_only(
     src = source.dropDuplicates(list(keys))
     if not table_exists(spark, name):
         _writer(src, "overwrite", partition_by, sort_by).saveAsTable(name)
+        if log_table:
+            log_load(spark, log_table, name, "created", None)
         return "created"
     target = spark.table(name)
     if partition_by and set(partition_by) <= set(keys):
         target = target.join(src.select(*partition_by).distinct(), on=list(partition_by), how="left_semi")
     append(new_rows(target, src, keys, null_safe), name, partition_by, sort_by)
+    if log_table:
+        log_load(spark, log_table, name, "merged", None)
     return "merged"
 
 
-def merge_upsert(spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str]) -> str:
+class DuplicateSourceKeys(ValueError):
+    pass
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def merge_upsert(spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], null_safe: Sequence[str] = (),
+                 partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), log_table: str | None = None) -> str:
     """Create, or rewrite as (old minus matched) plus source.
-    Returns ``"created"`` or ``"upserted"``."""
+    Returns ``"created"`` or ``"upserted"``.
+
+    A source key that occurs twice is refused, as it would match a row twice.
+    An existing table keeps its partition columns.  Where these are part of the
+    key, only the partitions that the source touches are rewritten."""
     recover(spark, name)
+    twice = source.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    if (n := twice.count()):
+        raise DuplicateSourceKeys(f"{n} source keys occur more than once in the merge into {name}")
     if not table_exists(spark, name):
-        source.write.mode("overwrite").saveAsTable(name)
-        return "created"
-    replace(spark, upsert_frame(spark.table(name), source, keys), name)
-    return "upserted"
+        _writer(source, "overwrite", partition_by, sort_by).saveAsTable(name)
+        done = "created"
+    else:
+        parts = partition_columns(spark, name)
+        target = spark.table(name)
+        if parts and set(parts) <= set(keys):
+            touched = target.join(source.select(*parts).distinct(), on=parts, how="left_semi")
+            rows = stage(upsert_frame(touched, source, keys, null_safe), "upsert").select(*target.columns)
+            mode = "spark.sql.sources.partitionOverwriteMode"  # insertInto takes it from the session alone
+            before = spark.conf.get(mode)
+            try:
+                spark.conf.set(mode, "dynamic")
+                laid_out(rows, parts, sort_by).write.mode("overwrite").insertInto(name)
+            finally:
+                spark.conf.set(mode, before)
+        else:
+            replace(spark, upsert_frame(target, source, keys, null_safe), name, parts, sort_by)
+        done = "upserted"
+    if log_table:
+        log_load(spark, log_table, name, done, None)
+    return done

@@ -30,25 +30,28 @@ from snapstar.sources.tables import new_rows
 def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:  # PATH_NOT_FOUND on the first batch
+    except AnalysisException as e:
+        # What the first batch meets: no folder, or one without rows so far.
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
 def _append_new(batch: DataFrame, target_path: str, keys: Sequence[str], partition_by: str | None,
-                null_safe: Sequence[str] = ()) -> None:
+                null_safe: Sequence[str] = (), within_partition: bool = True) -> None:
     """Append the batch rows whose key is not in the target yet.
 
     With ``partition_by`` the target is partitioned on that column (e.g. the
-    ingestion date) and only the partitions present in the batch are read
-    for the existence check - a replayed batch can only collide with rows of
-    its own partitions, so each micro-batch reads a bounded slice of the
-    target instead of all of it.
+    ingestion date) and, where a key can only come again with the same value of
+    that column (``within_partition``), only the partitions present in the batch
+    are read for the existence check.  Otherwise the key columns of the whole
+    target are read.
     """
     spark = batch.sparkSession
     src = batch.dropDuplicates(list(keys))
     existing = _read_if_exists(spark, target_path)
     if existing is not None:
-        if partition_by:
+        if partition_by and within_partition:
             wanted = src.select(partition_by).distinct()
             existing = existing.join(wanted, on=partition_by, how="left_semi")
         src = new_rows(existing, src, keys, null_safe)
@@ -58,12 +61,12 @@ def _append_new(batch: DataFrame, target_path: str, keys: Sequence[str], partiti
     writer.parquet(target_path)
 
 
-def insert_only_batch(target_path: str, keys: Sequence[str], partition_by: str | None = None):
+def insert_only_batch(target_path: str, keys: Sequence[str], partition_by: str | None = None, within_partition: bool = True):
     """foreachBatch function: append the batch's unseen keys to a parquet
     target (created on first use)."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        _append_new(batch, target_path, keys, partition_by)
+        _append_new(batch, target_path, keys, partition_by, within_partition=within_partition)
 
     return run
 
@@ -101,7 +104,7 @@ def stream_insert_only(
 
 def stream_landing_to_bronze(spark: SparkSession, landing: str, target_path: str, checkpoint: str) -> None:
     """Landing tree -> bronze parquet, one append per micro-batch, keyed on
-    ``request_id`` so replays add nothing."""
+    ``request_id`` so replays add nothing, also not on another day."""
     raw = (
         spark.readStream.format("text")
         .option("wholetext", "true")
@@ -112,7 +115,7 @@ def stream_landing_to_bronze(spark: SparkSession, landing: str, target_path: str
     )
     bronze = bronze_from_files(raw)
     q = (
-        bronze.writeStream.foreachBatch(insert_only_batch(target_path, ["request_id"], "ingestion_date"))
+        bronze.writeStream.foreachBatch(insert_only_batch(target_path, ["request_id"], "ingestion_date", within_partition=False))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -130,10 +133,9 @@ def silver_batch(transform, rules, keys: Sequence[str], target_path: str, quaran
     def run(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch)
         valid, invalid = Q.split(rows, rules())
-        qw = invalid.write.mode("append")
-        if partition_by:
-            qw = qw.partitionBy(partition_by)
-        qw.parquet(quarantine_path)
+        # A row of the quarantine is known by all its values: bad rows may lack
+        # their keys.  The array of rules is compared as it is.
+        _append_new(invalid, quarantine_path, invalid.columns, partition_by, null_safe=invalid.columns)
         _append_new(valid, target_path, keys, partition_by, null_safe)
 
     return run
