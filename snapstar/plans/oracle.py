@@ -531,7 +531,7 @@ def oracle_sql() -> dict[str, str]:
         "display_text": """
             SELECT l.l_orderkey, l.l_linenumber,
                    trim(regexp_replace(s.s_name, '^Supplier#0*', 'S')) AS supplier_label,
-                   CASE WHEN l.l_quantity IS NULL THEN 'No data' ELSE printf('%.1f min', l.l_quantity * 60 / 60.0) END AS eta_text,
+                   CASE WHEN l.l_quantity IS NULL THEN 'No data' ELSE printf('%.1f min', l.l_quantity * 15 / 60.0) END AS eta_text,
                    coalesce(strftime(l.l_shipdate, '%d %b %Y, %H:%M'), 'No data') AS ship_text,
                    coalesce(strftime(l.l_shipdate, '%d %b %Y'), 'No data') AS ship_date_text
             FROM lineitem l LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey""",
@@ -558,4 +558,6 @@ def oracle_sql() -> dict[str, str]:
     })
     for name, rows in _CHK_ROWS.items():
         q[name] = suite(rows, ctes=_CHK_CTES)
-    return q
+    from snapstar.plans import model_oracle
+
+    return q | model_oracle.oracle_sql()
