@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 #   else Unknown
 # Good service means severity == 10; anything else, null included, is
 # disrupted.
+#
+# Reason prefix removed: "<NAME> LINE: " or "<NAME>: " (case-insensitive with a
+# known name), else upper-case letters, spaces, apostrophes, ampersands and
+# hyphens followed by " LINE: ".  Sentences end at . ! ? and white space.
 # ---------------------------------------------------------------------------
 WEATHER_CODE_GROUPS = [
     ((0,), "Clear sky"),
@@ -137,11 +141,9 @@ def remaining_sentences(text: Column | str) -> Column:
 
 
 def eta_text(seconds: Column | str) -> Column:
-    """``"<minutes, 1 dp> min"``, or ``"No data"`` for null."""
+    """``"<minutes, 1 dp> min"``, or ``"No data"`` for null.  Ties of the exact
+    value go to the even digit (15 s is 0.2 min), as number_format rounds."""
     s = _c(seconds).cast("double")
-    return F.when(s.isNull(), "No data").otherwise(F.format_string("%.1f min", s / 60.0))
-
+    minutes = F.replace(F.format_number(s / 60.0, 1), F.lit(","), F.lit(""))
+    return F.when(s.isNull(), "No data").otherwise(F.concat(minutes, F.lit(" min")))
 
-def joined_set(col: Column | str, sep: str = SEPARATOR) -> Column:
-    """Aggregate: sorted distinct non-null texts joined with ``sep``."""
-    return F.concat_ws(sep, F.sort_array(F.collect_set(_c(col))))

@@ -156,6 +156,11 @@ def set_difference(name: str, left: DataFrame, right: DataFrame, keys: Sequence[
     return _one(name, d.agg(F.count(F.lit(1)).alias("actual")))
 
 
+def present(name: str, found: bool, spark) -> DataFrame:
+    """Whether an expected table is there."""
+    return spark.range(1).select(F.lit(name).alias("check_name"), F.lit(int(found)).cast("bigint").alias("actual_value"), F.lit(1).cast("bigint").alias("expected_value"))
+
+
 def outside_interval(name: str, df: DataFrame, ts: str, from_col: str = "effective_from",
                      to_col: str = "effective_to") -> DataFrame:
     """Temporal-join audit: facts whose time lies outside the interval of
@@ -196,7 +201,9 @@ def suite(checks: Sequence[DataFrame], run_id: str | None = None) -> DataFrame:
     )
     out = u.withColumn("status", status).select(*AUDIT_COLUMNS)
     if run_id is not None:
-        out = out.withColumn("validation_run_id", F.lit(run_id)).withColumn("checked_at", F.current_timestamp())
+        told = F.concat_ws(" ", F.lit("found"), F.col("actual_value").cast("string"), F.lit("expected"), F.col("expected_value").cast("string"))
+        out = (out.withColumn("details", F.when(F.col("status") == "FAIL", told)).withColumn("validation_run_id", F.lit(run_id))
+               .withColumn("checked_at", F.current_timestamp()))
     return out
 
 

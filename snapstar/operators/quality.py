@@ -41,10 +41,6 @@ def non_negative(col: str, allow_null: bool = False) -> Rule:
     return Rule(f"{col}_non_negative", pred)
 
 
-def not_blank(col: str) -> Rule:
-    return Rule(f"{col}_not_blank", F.trim(F.col(col)) != "")
-
-
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """array<string> of the names of failed rules (empty when valid)."""
     flags = [F.when(~F.coalesce(r.predicate, F.lit(False)), F.lit(r.name)) for r in rules]

@@ -32,19 +32,6 @@ def series(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(x, y).dropna(subset=[y]).orderBy(x)
 
 
-def latest_row(df: DataFrame, order_col: str, where: Column | None = None) -> DataFrame:
-    """Newest row, optionally among rows matching ``where`` (top-1)."""
-    if where is not None:
-        df = df.filter(where)
-    return df.orderBy(F.col(order_col).desc()).limit(1)
-
-
-def last_n_ascending(df: DataFrame, order_col: str, n: int) -> DataFrame:
-    """The newest ``n`` rows, shown oldest first (a top-k, then a re-sort of
-    at most ``n`` rows)."""
-    return df.orderBy(F.col(order_col).desc()).limit(n).orderBy(order_col)
-
-
 def weighted_average(value: str, weight: str) -> Column:
     """Aggregate: sum(value * weight) / sum(weight) over rows with a
     positive weight and a value; null when no such row."""
@@ -126,8 +113,3 @@ def degree(pairs: DataFrame, node: str, other: str, name: str) -> DataFrame:
     """Per node: number of distinct partners in a pair table (lines per
     station, stations per line)."""
     return pairs.groupBy(node).agg(F.count_distinct(other).alias(name))
-
-
-def not_between(col: str, lo, hi) -> Column:
-    """``NOT BETWEEN`` predicate (null stays null, so a filter drops it)."""
-    return ~F.col(col).between(lo, hi)

@@ -5,15 +5,13 @@ Two invariants matter for correct results:
 * the session time zone is UTC.  All stored timestamps are UTC instants and
   London-local values are derived with ``from_utc_timestamp``; under any other
   session zone that conversion shifts twice.
-* lineage is cut with reliable ``checkpoint()`` into the shared folder the
-  cluster names in ``spark.checkpoint.dir``.  A machine-local fallback is only
-  created for local-mode sessions (tests, the bench), never on a cluster.
+* lineage is cut by writing Parquet into the shared folder the cluster names in
+  ``spark.checkpoint.dir`` (:func:`stage`).  Staged tables stay for as long as a
+  frame may read them; ``unstage`` removes all of a session.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,17 +74,10 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, configuring the SparkContext if needed.
-
-    Order: an already-set context folder, then ``spark.checkpoint.dir`` from
-    the session conf (the shared folder the cluster names).  Only a local-mode
-    session with neither gets a private temporary folder.
-    """
+    """The checkpoint folder: an already-set context folder, else the shared
+    folder that ``spark.checkpoint.dir`` names.  There is no fallback: a folder
+    of one machine would not be seen by the others."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -94,17 +85,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not _is_local(spark):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS/object store) before running iterative builds"
-        )
-    path = tempfile.mkdtemp(prefix="snapstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if not configured:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder that all executors share")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -119,6 +103,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/staged/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def unstage(spark: SparkSession) -> None:
+    """Remove what :func:`stage` wrote in this application.  Frames that read it
+    can no longer be evaluated."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/staged/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

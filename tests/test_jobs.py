@@ -107,10 +107,21 @@ def test_serving_and_audit(spark, gold):
     k = {r["date_key"]: r for r in kpis.collect()}
     assert k[20240823]["line_snapshots"] == 4 and k[20240823]["disrupted_line_snapshots"] == 1
     assert k[20240823]["arrival_observations"] == 2 and k[20240823]["weather_observations"] == 1
-    tables = {n: gold[n] for n in ["dim_date", "dim_line", "dim_station", "bridge", "fact_line_status", "silver_line_status"]}
-    tables["daily_network_kpis"] = kpis
+    tables = {n: gold[n] for n in ["dim_date", "dim_line", "dim_station", "fact_line_status", "fact_arrival_observation", "fact_weather",
+                                   "silver_line_status", "silver_arrivals", "silver_weather"]}
+    tables |= {"bridge_station_line": gold["bridge"], "daily_network_kpis": kpis,
+               "current_line_status": J.current_line_status(gold["fact_line_status"], gold["dim_line"]),
+               "station_arrival_summary": J.station_arrival_summary(gold["fact_arrival_observation"], gold["dim_station"], gold["dim_line"])}
     res = {r["check_name"]: r["status"] for r in J.gold_audit(tables, "run-1").collect()}
-    assert res and all(s == "PASS" for s in res.values()), {k: v for k, v in res.items() if v != "PASS"}
+    assert len(res) == 53 and all(s == "PASS" for s in res.values()), {k: v for k, v in res.items() if v != "PASS"}
+    assert {r["source_snapshot_at"] for r in gold["bridge"].collect()} == {TS(2024, 8, 23, 20)}
+
+
+def test_absent_tables_fail_the_audit(gold):
+    res = {r["check_name"]: (r["status"], r["details"]) for r in J.gold_audit({"dim_date": gold["dim_date"], "dim_line": gold["dim_line"]}, "run-2").collect()}
+    assert len(res) == 53
+    assert res["table_exists::dim_date"][0] == "PASS" and res["table_exists::fact_weather"] == ("FAIL", "found 0 expected 1")
+    assert res["fact_weather_row_reconciliation"][0] == res["bridge_orphan_line_keys"][0] == "FAIL"
 
 
 def test_gates_fire(spark, gold):

@@ -247,6 +247,76 @@ def test_as_of_join_boundaries(spark, strategy):
     assert got == {2: "k1", 3: "k1", 4: "k2", 5: "k2", 8: "k3"}
 
 
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "sorted"])
+def test_as_of_refuses_overlaps_and_skips_versions_without_time(spark, strategy):
+    from snapstar.operators.asof import OverlappingVersions
+    schema = "line_id string, line_key string, effective_from timestamp, effective_to timestamp"
+    facts = spark.createDataFrame([(1, "L1", TS(2024, 1, 5))], "id int, line_id string, ts timestamp")
+    inside = [("L1", "v1", TS(2024, 1, 1), TS(2024, 1, 10)), ("L1", "v2", TS(2024, 1, 3), TS(2024, 1, 4))]
+    equal = [("L1", "v1", TS(2024, 1, 1), TS(2024, 1, 10)), ("L1", "v2", TS(2024, 1, 1), TS(2024, 1, 2))]
+    for rows in (inside, equal):
+        with pytest.raises(OverlappingVersions):
+            as_of_join(facts, spark.createDataFrame(rows, schema), ["line_id"], "ts", strategy=strategy)
+    empty = [("L1", "v1", TS(2024, 1, 1), TS(2024, 1, 10)), ("L1", "v0", TS(2024, 1, 5), TS(2024, 1, 5)), ("L1", "v9", TS(2024, 1, 4), TS(2024, 1, 2))]
+    got = as_of_join(facts, spark.createDataFrame(empty, schema), ["line_id"], "ts", strategy=strategy).collect()
+    assert [(r["id"], r["line_key"]) for r in got] == [(1, "v1")]
+
+
+def test_bursts_and_missing_keys_are_sliced(spark):
+    from snapstar.operators.segmented import hot_key_buckets
+    rows = [("hot", TS(2024, 1, 1) + dt.timedelta(microseconds=i), i) for i in range(1990)] + [("hot", TS(2025, 1, 1) + dt.timedelta(days=i), 5000 + i) for i in range(10)]
+    rows += [(None, TS(2024, 1, 1) + dt.timedelta(seconds=i), 9000 + i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id int")
+    sizes = [r["count"] for r in hot_key_buckets(df, ["k"], "ts", max_rows=200).groupBy("k", "_seg_bucket").count().collect()]
+    assert max(sizes) <= 400 and sum(sizes) == 2600 and len(sizes) >= 12
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    a = {r["id"]: r["prev_id"] for r in prev_within_key(df, ["k"], ["ts", "id"], ["id"], max_rows=200).collect()}
+    assert a == {r["id"]: r["p"] for r in df.select("id", F.lag("id").over(w).alias("p")).collect()}
+
+
+def test_eta_ties_go_to_the_even_digit(spark):
+    df = spark.createDataFrame([(15,), (75,), (45,), (9,), (120,), (90000,), (None,)], "s int")
+    assert [r[0] for r in df.select(L.eta_text("s")).collect()] == ["0.2 min", "1.2 min", "0.8 min", "0.1 min", "2.0 min", "1500.0 min", "No data"]
+
+
+def test_upsert_keeps_partitions_and_refuses_repeated_keys(spark):
+    spark.sql("DROP TABLE IF EXISTS ups")
+    first = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "b", "x")], "id int, p string, v string")
+    assert T.merge_upsert(spark, first, "ups", ["id", "p"], partition_by=["p"]) == "created"
+    assert T.merge_upsert(spark, spark.createDataFrame([(3, "b", "y"), (4, "b", "z")], "id int, p string, v string"), "ups", ["id", "p"]) == "upserted"
+    assert T.partition_columns(spark, "ups") == ["p"]
+    assert sorted((r["id"], r["p"], r["v"]) for r in spark.table("ups").collect()) == [(1, "a", "x"), (2, "b", "x"), (3, "b", "y"), (4, "b", "z")]
+    with pytest.raises(T.DuplicateSourceKeys):
+        T.merge_upsert(spark, spark.createDataFrame([(1, "a", "b"), (1, "a", "c")], "id int, p string, v string"), "ups", ["id", "p"])
+    spark.sql("DROP TABLE ups")
+
+
+def test_one_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(200_000).select("id", F.lit("2024-01-01").alias("d"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        T.laid_out(df, ["d"]).write.parquet(str(tmp_path / "out"))
+        assert len(list((tmp_path / "out").glob("part-*"))) > 1
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_version_history_numbers_versions(spark):
+    from snapstar.operators.scd2 import version_history
+    got = [(r["line_id"], r["line_key"], r["version_no"], r["valid_days"]) for r in
+           version_history(_versions(spark).withColumn("version_key", F.col("line_key")), ["line_id"]).orderBy("line_id", "version_no").collect()]
+    assert got == [("L1", "k1", 1, 4), ("L1", "k2", 2, None), ("L2", "k3", 1, None)]
+
+
+def test_a_day_outside_the_calendar_is_an_error(spark):
+    day = spark.createDataFrame([(20240101, 1), (20250101, 2)], "date_key int, n long")
+    cal = spark.createDataFrame([(20240101, "x")], "date_key int, name string")
+    with pytest.raises(Exception, match="outside the calendar"):
+        S.combine_daily([day], cal, ["date_key", "name"], ["n"]).collect()
+
+
 def test_as_of_strategies_agree_with_range_join_under_skew(spark):
     rnd = random.Random(3)
     ev = []

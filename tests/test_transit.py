@@ -175,6 +175,34 @@ def test_landing_batch_equals_stream(spark, tmp_path):
     assert read_landing(spark, base).select(*cols).exceptAll(streamed.select(*cols)).count() == 0
 
 
+def test_landed_arrivals_keep_their_station_and_replays_add_nothing(spark, tmp_path):
+    from snapstar.sources.landing import envelope
+    at = TS(2024, 8, 23, 21, 5)
+    payload = json.dumps([{"id": "x1", "vehicleId": "v", "stationName": "Alpha", "lineId": "L1", "timestamp": "2024-08-23T21:05:00Z",
+                           "timeToStation": 60, "expectedArrival": "2024-08-23T21:06:00Z"}, {"id": "x2", "stationName": "Alpha"}])
+    base, target, bad, bronze = (str(tmp_path / n) for n in ("landing", "silver", "bad", "bronze"))
+    _write_landing(base, [("tfl", "arrivals", at, "req-1", envelope(payload, "/StopPoint/S1/Arrivals", 200, at))])
+    row = read_landing(spark, base).first()
+    assert (row["source_endpoint"], row["http_status"], row["ingested_at"], row["payload"]) == ("/StopPoint/S1/Arrivals", 200, at, payload)
+    stream_landing_to_bronze(spark, base, bronze, str(tmp_path / "c1"))
+    # The same request lands again under another day: the request id is known.
+    later = at + dt.timedelta(days=1)
+    _write_landing(base, [("tfl", "arrivals", later, "req-1", envelope(payload, "/StopPoint/S1/Arrivals", 200, later))])
+    stream_landing_to_bronze(spark, base, bronze, str(tmp_path / "c1"))
+    assert spark.read.parquet(bronze).count() == 1
+    for checkpoint in ("c2", "c3"):  # the second start replays all of bronze
+        stream_bronze_to_silver(spark, bronze, lambda b: TR.with_arrival_key(FL.arrivals(b)), TR.arrival_rules, ["arrival_observation_key"], target, bad, str(tmp_path / checkpoint))
+    good = spark.read.parquet(target).collect()
+    assert [(r["requested_stop_point_id"], r["arrival_id"]) for r in good] == [("S1", "x1")]
+    assert spark.read.parquet(bad).count() == 1
+
+
+def test_weather_without_measures_is_invalid(spark):
+    bare = json.dumps({"latitude": 51.5, "longitude": -0.1, "timezone": "Europe/London", "current": {"time": "2024-08-24T00:15"}})
+    rows = FL.weather(_bronze(spark, [("r1", "weather", "/v1/forecast", TS(2024, 8, 23, 21), bare)]))
+    assert Q.split(rows, TR.weather_rules())[0].count() == 0
+
+
 def test_bronze_to_silver_stream_equals_batch(spark, tmp_path):
     p1 = _line_payload([("victoria", "Victoria", [(0, 10, "Good Service", None)]),
                         ("central", "Central", [(None, 6, "Severe Delays", "x")])])
