@@ -48,6 +48,8 @@ def directory(entries: DataFrame, capacity: int, max_depth: int) -> list[tuple[i
     while buckets:
         done += [(b, depth) for b, n in buckets.items() if n <= capacity or depth == max_depth]
         full = {b for b, n in buckets.items() if n > capacity and depth < max_depth}
+        if not full:
+            break
         depth += 1
         buckets = {c: 0 for b in full for c in (2 * b, 2 * b + 1)}
         for c, n in sizes.items():
