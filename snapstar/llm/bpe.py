@@ -22,6 +22,7 @@ in bytes.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from array import array
 from itertools import islice
@@ -36,8 +37,8 @@ from snapstar.llm.common import map_arrow
 
 #: Entries of a word memo and of the transducer's table.  A full memo loses its
 #: older half and a full table starts anew: both only save repeated work.
-MEMO_ENTRIES = 500_000
-TABLE_ENTRIES = 200_000
+MEMO_ENTRIES = 700_000
+TABLE_ENTRIES = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -315,6 +316,9 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _CODECS:
+        # Memos and states are millions of small tuples without cycles; walking
+        # them again and again for cycles takes a fifth of the time.
+        gc.disable()
         _CODECS[path, pattern] = Codec(path, pattern)
     return _CODECS[path, pattern]
 
