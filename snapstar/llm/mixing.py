@@ -22,10 +22,9 @@ without any labelled row every rate is 1.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,21 +40,25 @@ MAX_STEPS, TOLERANCE = 100, 1e-6
 WORDS_KEPT = 400_000
 DENSE = 5
 
-_SIGNS = re.compile(r"[#*$%&|<>!]")
+_SIGNS = "#*$%&|<>!"
+
+
+def _hashed(s: str) -> int:
+    return xxhash.xxh32_intdigest(s.encode("utf-8", "replace")) % FEATURES
 
 
 def word_features(word: str) -> tuple[int, int, int]:
     """Hashed features of a word: itself, its ending, the kinds of its signs."""
     low = word.lower()
-    kinds = "".join(sorted(set("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in word)))
-    h = lambda s: int.from_bytes(__import__("hashlib").blake2b(s.encode("utf-8", "replace"), digest_size=4).digest(), "little") % FEATURES
-    return h("w" + low), h("e" + low[-3:]), h("k" + kinds)
+    signs = "".join(sorted({c for c in word if not c.isalnum()})) if not word.isalnum() else ""
+    kinds = ("a" if word.islower() else "A" if word.isupper() else "Aa") + signs
+    return _hashed("w" + low), _hashed("e" + low[-3:]), _hashed("k" + kinds)
 
 
 def dense_features(text: str, words: list[str]) -> list[float]:
     n, c = max(1, len(words)), max(1, len(text))
     lines = text.split("\n")
-    return [len(set(words)) / n, len(_SIGNS.findall(text)) / c, sum(map(str.isupper, words)) / n, len(set(lines)) / len(lines), min(1.0, n / 50)]
+    return [len(set(words)) / n, sum(map(text.count, _SIGNS)) / c, sum(map(str.isupper, words)) / n, len(set(lines)) / len(lines), min(1.0, n / 50)]
 
 
 class Classifier:
@@ -181,7 +184,8 @@ def replayed(p: np.ndarray, steps: list[tuple[np.ndarray, float]]) -> tuple[np.n
 
 
 def _posterior(b) -> np.ndarray:
-    return np.array(b.column(b.schema.get_field_index("posterior")).to_pylist(), float).reshape(b.num_rows, -1)
+    values = b.column(b.schema.get_field_index("posterior")).flatten()
+    return values.to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
 
 
 def total_batches(batches, scale, steps):
