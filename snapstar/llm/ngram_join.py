@@ -347,7 +347,8 @@ def similarity_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int =
               .withColumn("tile", F.when(F.col("size_tile") < 0, F.col("root")).otherwise(F.xxhash64("root", "size_tile", "part"))))
     placed = stage(placed, "ngram-tiles")
 
-    sets = texts.join(placed, "doc_id")
+    # Merged at every size, so that plan and shuffle grow evenly with the input.
+    sets = texts.join(placed.hint("merge"), "doc_id")
     links = stage(_linked(sets.select(F.col("tile").alias("tile_a"), F.col("tile").alias("tile_b"), F.lit(0).alias("side"), "node", F.col("node").alias("label"), "text"),
                           words, num, den), "ngram-links")
     cut = placed.where("size_tile >= 0")
