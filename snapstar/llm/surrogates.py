@@ -50,15 +50,24 @@ _GENDER = {name: key for key, names in GIVEN.items() for name in names}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _NAME = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
-PATTERNS = re.compile("|".join((
+_FORMS = (
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w@]))",
     r"(?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))",
     rf"(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\w))",
-    r"(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w+])\+\d{8,14}(?!\w))",
     rf"(?P<name>(?<!\w)(?:{_NAME})\s[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+(?!\w))",
-)))
+)
+#: Every form but cards, and where a run of digits begins that may hold cards.
+_OTHERS = re.compile("|".join(_FORMS))
+PATTERNS = re.compile("|".join((*_FORMS[:3], r"(?P<run>(?<![\w.])\d(?:[ -]?\d){12})", *_FORMS[3:])))
+_RUN = re.compile(r"\d+(?:[ -]\d+)*")
+#: Cards as they are printed, the likelier reading of a start first.
+_PRINTED = tuple(re.compile(rf"(?<![\w.])(?:{form})(?!\w)") for form in (
+    r"\d{4}([ -])\d{4}\1\d{4}\1\d{4}", r"\d{4}([ -])\d{6}\1\d{4,5}", r"\d{13,19}", r"\d{4}([ -])\d{4}\1\d{4}\1\d{4}\1\d{1,3}", r"\d{4}([ -])\d{4}\1\d{4}\1\d{1,3}",
+    r"\d{4}([ -])\d{4}\1\d{5}", r"\d{4}([ -])\d{3}\1\d{3}\1\d{3}"))
+#: First digits and lengths of the payment systems.
+_ISSUED = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2[2-7]\d{14}|3[47]\d{13}|3[068]\d{12}|6\d{15,18}")
 #: A text without any of these cannot hold an entity but a name.
 _HINT = re.compile(r"\d|@")
 
@@ -76,12 +85,79 @@ def detected(text: str) -> list[tuple[str, int, int]]:
     found = []
     if not _HINT.search(text) and not any(n in text for n in _GENDER):
         return found
-    for m in PATTERNS.finditer(text):
-        if m.lastgroup != "card" or luhn(re.sub(r"\D", "", m.group())):
+    at = 0
+    while m := PATTERNS.search(text, at):
+        if m.lastgroup == "run":
+            inside, at = _in_run(text, *_RUN.match(text, m.start()).span())
+            found += inside
+        else:
             found.append((m.lastgroup, *m.span()))
+            at = m.end()
     return found
 
 
+def _in_run(text: str, start: int, end: int) -> tuple[list[tuple[str, int, int]], int]:
+    """The entities that begin in a run of digit groups, and where to go on.
+
+    Printed cards with a valid check digit come first, wherever in the run they
+    begin; then the other forms between them; what neither has taken may be a card
+    in other groups.  A number printed like a card whose check digit is wrong is
+    no telephone number either."""
+    groups = [(start + g.start(), start + g.end()) for g in re.finditer(r"\d+", text[start:end])]
+    cards, others, wrong, at = [], [], {}, start
+    for s, _ in groups:
+        if s < at:
+            continue
+        for k, form in enumerate(_PRINTED):
+            if (m := form.match(text, s)) and m.end() <= end:
+                if _valid(m.group()):
+                    cards.append(("card", *m.span()))
+                    at = m.end()
+                    break
+                if k == 0:
+                    wrong[s] = m.end()
+    last = end
+    for s, e in zip([start, *(b for _, _, b in cards)], [*(a for _, a, _ in cards), None]):
+        at = s
+        while (m := _OTHERS.search(text, at, len(text) if e is None else e)) and m.start() < end:
+            at = wrong.get(m.start(), m.end())
+            if m.start() not in wrong:
+                others.append((m.lastgroup, *m.span()))
+                last = max(last, at)
+    whole = text[start:end]
+    if not cards and len(set(re.sub(r"\d", "", whole))) <= 1 and _valid(whole) and not re.match(r"\w", text[end:end + 1]):
+        # One card in other groups, unless the other forms read all of it.
+        if _ISSUED.fullmatch(re.sub(r"\D", "", whole)) or sum(min(e, end) - s for _, s, e in others) < len(whole) - len(others):
+            return [("card", start, end)], end
+    found = cards + others
+    taken = bytearray(end - start)
+    for _, s, e in found:
+        taken[s - start:min(e, end) - start] = b"\1" * (min(e, end) - s)
+    rest: list[list[tuple[int, int]]] = [[]]
+    for g in groups:
+        if not taken[g[0] - start]:
+            rest[-1].append(g)
+        elif rest[-1]:
+            rest.append([])
+    for part in rest:
+        k = 0
+        while k < len(part):
+            ends = [e for _, e in part[k:k + 19]]
+            for n, e in reversed(list(enumerate(ends))):
+                value = text[part[k][0]:e]
+                if (not k and n == len(part) - 1 or _ISSUED.fullmatch(re.sub(r"\D", "", value))) and _valid(value) and not re.match(r"\w", text[e:e + 1]):
+                    found.append(("card", part[k][0], e))
+                    k += n
+                    break
+            k += 1
+    return sorted(found, key=lambda x: x[1]), last
+
+
+def _valid(value: str) -> bool:
+    digits = re.sub(r"\D", "", value)
+    return 13 <= len(digits) <= 19 and luhn(digits)
+
+
 def canonical(kind: str, value: str) -> str:
     """What makes two mentions the same entity."""
     if kind == "email":

@@ -153,6 +153,31 @@ def test_no_planted_value_is_left(spark):
     assert rows_of(surrogates.replace(make_docs(spark, []), KEY)) == []
 
 
+def test_neighbouring_numbers_are_all_replaced(spark):
+    """Planted values side by side, in runs of digits that the card form can span."""
+    rng = random.Random(8)
+    digits = lambda n: "".join(str(rng.randint(2, 9)) for _ in range(n))
+
+    def card(sep):
+        body = "4" + digits(14)
+        body += next(str(c) for c in range(10) if surrogates.luhn(body + str(c)))
+        return sep.join(body[k:k + 4] for k in range(0, 16, 4))
+
+    make = {"ssn": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", "phone": lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", "card": lambda: card(rng.choice([" ", "-", ""])), "none": lambda: digits(rng.randint(1, 3))}
+    planted = []
+    for i in range(400):
+        kinds = [rng.choice(list(make)) for _ in range(rng.randint(2, 3))]
+        planted.append((i, [(k, make[k]()) for k in kinds]))
+    got = {r["doc_id"]: r["text"] for r in rows_of(surrogates.replace(make_docs(spark, [(i, "call " + " ".join(v for _, v in x) + " now") for i, x in planted]), KEY))}
+    left = [(x, got[i]) for i, x in planted if any(k != "none" and v in got[i] for k, v in x)]
+    assert left == []
+    kinds = lambda t: [(k, t[s:e]) for k, s, e in surrogates.detected(t)]
+    assert kinds("123-45-6789 987-65-4321") == [("ssn", "123-45-6789"), ("ssn", "987-65-4321")]
+    assert kinds("555-123-4567 2024") == [("phone", "555-123-4567")] and len(kinds("555-123-4567 555-987-6543")) == 2
+    assert kinds("2024 4539 5787 6362 1486 123") == [("card", "4539 5787 6362 1486")] and kinds("45 3957 8763 621486") == [("card", "45 3957 8763 621486")]
+    assert kinds("4539 5787 6362 1487") == []
+
+
 # --- toxicity -------------------------------------------------------------------
 
 
