@@ -5,7 +5,8 @@ sum of the vectors of its hashed byte trigrams, so that unknown and inflected
 words have one too.  Two gated recurrent layers read each window of ``WINDOW``
 words from either end; attention pools their states into one logit.  A text is
 scored over all windows at half-window steps, the last one aligned to its end;
-its logit is the soft maximum of theirs.  Training minimises the log loss of the
+its logit is the soft maximum of theirs, which does not grow with their number.
+Training minimises the log loss of the
 document's label through that soft maximum by Adam, all in numpy, on a bounded
 and documented sample of labelled rows; the prior of the classes is then set to
 that of all training labels.
@@ -167,13 +168,15 @@ class Network:
 
 
 def soft_maximum(logits: np.ndarray, owner: np.ndarray, n: int):
-    """log(sum(exp)) by owner minus the log of the count's square root, and each
-    window's share of the gradient."""
+    """The mean by owner, weighted by exp(logit), and each window's share of the
+    gradient.  Any number of equal windows gives their own logit; one that stands
+    out by more than the log of their number decides alone."""
     top = np.full(n, -np.inf, np.float32)
     np.maximum.at(top, owner, logits)
     e = np.exp(logits - top[owner])
-    total = np.bincount(owner, e, n).astype(np.float32)
-    return top + np.log(total), (e / total[owner]).astype(np.float32)
+    weight = e / np.bincount(owner, e, n)[owner]
+    mean = np.bincount(owner, weight * logits, n)
+    return mean.astype(np.float32), (weight * (1 + logits - mean[owner])).astype(np.float32)
 
 
 def window_index(numbers: list[np.ndarray], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:

@@ -239,6 +239,27 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert twins[0] == pytest.approx(twins[1], abs=1e-6)
 
 
+def test_long_texts_are_scored_as_short_ones():
+    """Clean texts of thousands of windows stay below the threshold, and one toxic
+    passage in them is found."""
+    for n in (1, 50, 8_000):
+        logit, share = toxicity.soft_maximum(np.full(n, -4.0, np.float32), np.zeros(n, np.int64), 1)
+        assert logit[0] == pytest.approx(-4, abs=1e-3) and share.sum() == pytest.approx(1, abs=1e-3)
+    one = np.full(8_000, -8.0, np.float32)
+    one[4_321] = 6
+    assert toxicity.soft_maximum(one, np.zeros(8_000, np.int64), 1)[0][0] > 5
+    rows, labels = planted()
+    net = toxicity.train([t for _, t in rows], np.array([c for _, c in labels]), 0.25)
+    clean, toxic = ([t for (_, t), (_, c) in zip(rows, labels) if c == k] for k in (0, 1))
+    long = [" ".join(clean[k::3] * 32) for k in range(3)]
+    assert min(len(toxicity.words_of(t)) for t in long) > 1_500 * toxicity.WINDOW // 2
+    scorer = toxicity.Scorer(net)
+    alone, short = scorer.scores(long), scorer.scores([" ".join(clean[k::3]) for k in range(3)])
+    assert alone.max() < 0.3 and alone == pytest.approx(short, abs=0.05)
+    half = [len(t) // 2 for t in long]
+    assert scorer.scores([f"{t[:h]} {p} {t[h:]}" for t, h, p in zip(long, half, toxic)]).min() >= 0.3
+
+
 def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in rows_of(toxicity.classify(make_docs(spark, [(1, "a"), (2, None)]), none))} == {0.0}
