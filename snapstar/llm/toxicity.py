@@ -2,7 +2,9 @@
 
 A word enters as its own vector (words known from training) and as the scaled
 sum of the vectors of its hashed byte trigrams, so that unknown and inflected
-words have one too.  Two gated recurrent layers read each window of ``WINDOW``
+words have one too.  Runs of more than ``WHOLE`` letters (joined words, clauses of
+scripts without blanks) enter as half-overlapping pieces of ``PIECE`` characters, each a
+word of its own, so nothing of them is left out.  Two gated recurrent layers read each window of ``WINDOW``
 words from either end; attention pools their states into one logit.  A text is
 scored over all windows at half-window steps, the last one aligned to its end;
 its logit is the soft maximum of theirs, which does not grow with their number.
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 from snapstar.llm.common import map_arrow
 
 WINDOW = 48
+#: Characters of a word that enters whole, and of the pieces of a longer one.
+WHOLE, PIECE = 24, 8
 HIDDEN = 8
 DIM = 8
 TRIGRAMS = 1 << 13
@@ -47,13 +51,22 @@ AT_ONCE = 2_048
 _WORD = re.compile(r"[^\W_]+")
 
 
+def pieces(word: str) -> list[str]:
+    if len(word) <= WHOLE:
+        return [word]
+    return [word[k:k + PIECE] for k in (*range(0, len(word) - PIECE, PIECE // 2), len(word) - PIECE)]
+
+
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    words = _WORD.findall((text or "").lower())
+    if max(map(len, words), default=0) > WHOLE:
+        return [p for w in words for p in pieces(w)]
+    return words
 
 
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams of all words in a row, and where each word's begin."""
-    raw = [b"\x02" + w.encode("utf-8", "replace")[:60] + b"\x03" for w in words]
+    raw = [b"\x02" + w.encode("utf-8", "replace") + b"\x03" for w in words]
     lengths = np.array([max(1, len(r) - 2) for r in raw], np.int64)
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
     starts = np.cumsum([0, *map(len, raw[:-1])]) if raw else np.zeros(0, np.int64)

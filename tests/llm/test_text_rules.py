@@ -260,6 +260,28 @@ def test_long_texts_are_scored_as_short_ones():
     assert scorer.scores([f"{t[:h]} {p} {t[h:]}" for t, h, p in zip(long, half, toxic)]).min() >= 0.3
 
 
+def test_all_of_long_words_is_read():
+    """Pieces cover a run whole, and toxic words deep in runs without blanks count."""
+    run = "".join(chr(0x4E00 + k) for k in range(1_000))
+    assert toxicity.words_of("a " + run[:24]) == ["a", run[:24]]
+    for n in (25, 36, 37, 500, 1_000):
+        cut = toxicity.words_of(run[:n])
+        assert all(len(p) <= toxicity.PIECE for p in cut) and all(any(run[k:k + 5] in p for p in cut) for k in range(n - 4))
+    assert len(toxicity.trigrams(["漢" * 24])[0]) == 72
+    rng = random.Random(9)
+    rows = []
+    for i in range(240):
+        clauses = ["".join(chr(0x4E00 + rng.randrange(400)) for _ in range(rng.randint(60, 150))) for _ in range(rng.randint(1, 2))]
+        for _ in range(3 * (i % 2)):
+            k = rng.randrange(len(clauses))
+            at = rng.randint(30, len(clauses[k]) - 1)
+            clauses[k] = clauses[k][:at] + rng.choice(["混蛋傻瓜", "蠢货白痴"]) + clauses[k][at:]
+        rows.append(("。".join(clauses), i % 2))
+    net = toxicity.train([t for t, _ in rows[:180]], np.array([c for _, c in rows[:180]]), 0.5)
+    found = toxicity.Scorer(net).scores([t for t, _ in rows[180:]]) >= 0.5
+    assert np.mean(found == np.array([c for _, c in rows[180:]])) >= 0.9
+
+
 def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in rows_of(toxicity.classify(make_docs(spark, [(1, "a"), (2, None)]), none))} == {0.0}
