@@ -7,6 +7,13 @@ script, digits stay digits, separators stay where they are; cards keep their
 leading digit and a valid check digit, telephone numbers their country code, and
 given names are drawn from names of the same gender and script.
 
+A person is a given name of the list below (with initials, further given names or
+a hyphen) before a surname; ``Alice`` or ``Smith`` alone is replaced where the same
+text has the whole name, and stays elsewhere, as do persons without a listed given
+name and names all in small or large letters.  Telephone numbers are found in
+three groups, with a country code (+ or 00) in any groups, and with a leading 0
+from nine digits; ten digits in one piece and numbers without an area code stay.
+
 Each surrogate comes from a keyed permutation of all strings of its format, so
 the same value gets the same surrogate in every document (coreference) and
 different values of one format get different ones (distinctness).  The distinct
@@ -39,8 +46,27 @@ MAX_ATTEMPTS = 8
 
 # Given names by gender and script, in alphabetical order.
 GIVEN = {
-    ("f", "latin"): ["Alice", "Anna", "Carla", "Clara", "Elena", "Emma", "Julia", "Laura", "Maria", "Marie", "Olivia", "Sarah", "Sophie"],
-    ("m", "latin"): ["Adam", "Carlos", "Daniel", "David", "Jean", "John", "Lukas", "Michael", "Pablo", "Paul", "Peter", "Robert", "Thomas"],
+    ("f", "latin"): (
+        "Abigail Adriana Agnes Alexandra Alice Alicia Alina Amanda Amelia Amy Ana Andrea Angela Angelika Anna Anne Annette Antonia Barbara Beatrice Beatriz "
+        "Brigitte Camille Carla Carmen Carol Caroline Catherine Charlotte Chloe Christina Christine Claire Clara Claudia Cristina Cynthia Daniela Deborah Diana "
+        "Dorothy Elena Elizabeth Ella Emily Emma Erika Esther Eva Fatima Fiona Florence Franziska Gabriela Gabriele Gloria Hannah Heather Heike Helen Helena "
+        "Ines Ingrid Irene Isabel Isabella Jacqueline Jane Janet Jennifer Jessica Joan Johanna Josephine Judith Julia Julie Karen Karin Katharina Katherine "
+        "Kathleen Kimberly Laura Lea Lena Leonie Linda Lisa Louise Lucia Lucy Manon Margaret Maria Marie Marion Marta Martha Martina Mary Megan Melanie Melissa "
+        "Michelle Monica Monika Nadine Nancy Natalie Nathalie Nicole Nina Nora Olivia Pamela Patricia Paula Petra Pilar Rachel Rebecca Renate Rosa Ruth Sabine "
+        "Samantha Sandra Sara Sarah Silvia Sofia Sophia Sophie Stefanie Stephanie Susan Susanne Sylvie Teresa Theresa Ursula Valentina Valerie Vanessa Veronica "
+        "Victoria Virginia Wendy Yvonne Zoe "
+    ).split(),
+    ("m", "latin"): (
+        "Aaron Adam Adrian Alan Albert Alejandro Alexander Alfred Andreas Andrew Anthony Antoine Antonio Arthur Arturo Benjamin Bernard Bernd Bob Brian Bruno "
+        "Carl Carlos Charles Christian Christopher Claude Craig Daniel David Dennis Diego Dieter Dirk Donald Douglas Eduardo Edward Emmanuel Enrique Eric Erik "
+        "Ernst Felix Fernando Florian Francis Francisco Franz Frederic Friedrich Gabriel Gary George Gerald Gerhard Gregory Guillaume Gustav Hans Harold Harry "
+        "Heinrich Helmut Henri Henry Herbert Hugo Ivan Jack Jacob Jacques James Jan Jason Javier Jean Jeffrey Jerome Jerry Joachim Joel Johann Johannes John "
+        "Jonathan Jorge Jose Joseph Joshua Juan Julian Julien Justin Karl Kenneth Kevin Klaus Kurt Larry Laurent Leo Leon Louis Luca Lucas Luis Lukas Manfred "
+        "Manuel Marc Marcel Marco Markus Martin Mathieu Matthew Matthias Maximilian Michael Michel Miguel Nathan Nicholas Nicolas Niklas Oliver Olivier Oscar "
+        "Otto Pablo Pascal Patrick Paul Pedro Peter Philip Philippe Pierre Rafael Raimund Ralph Raymond Richard Robert Roberto Roger Roland Ronald Samuel Scott "
+        "Sebastian Sergio Simon Stefan Stephan Stephen Steven Thierry Thomas Timothy Tobias Tom Uwe Victor Vincent Walter Werner William Wolfgang Xavier "
+        "Yannick "
+    ).split(),
     ("f", "cyrillic"): ["Анна", "Вера", "Елена", "Ирина", "Мария", "Наталья", "Ольга"],
     ("m", "cyrillic"): ["Алексей", "Борис", "Виктор", "Иван", "Николай", "Олег", "Павел"],
     ("f", "greek"): ["Άννα", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία"],
@@ -49,15 +75,31 @@ GIVEN = {
 _GENDER = {name: key for key, names in GIVEN.items() for name in names}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_NAME = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
+_BY_LETTER = {c: sorted((n[1:] for n in _GENDER if n[0] == c), key=len, reverse=True) for c in sorted({n[0] for n in _GENDER})}
+_NAME = "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in _BY_LETTER.items()) + ")"
+_CAPITAL = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ]"
+_SURNAME = rf"(?:{_CAPITAL}['’])?{_CAPITAL}[^\W\d_]+(?:-{_CAPITAL}[^\W\d_]+)*"
+_PLAIN_PHONE = r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}|\+\d{8,14}"
 _FORMS = (
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w@]))",
     r"(?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))",
     rf"(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\w))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
-    r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w+])\+\d{8,14}(?!\w))",
-    rf"(?P<name>(?<!\w)(?:{_NAME})\s[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+(?!\w))",
+    rf"(?P<phone>(?<![\w+])(?:{_PLAIN_PHONE})(?!\w)"
+    r"|(?<![\w+])(?:\+|00(?=[1-9]))\d{1,3}(?:(?: ?/ ?| ?\(\d{1,5}\) ?|[ .-])\d{1,10}){1,6}(?!\w)"
+    r"|(?<![\w+.-])0\d(?P<gap>[ .-])\d\d(?:(?P=gap)\d\d){3}(?!\w|[.-]\w)"
+    r"|(?<![\w+.-])(?:\(0\d{1,4}\) ?|0\d{1,4}(?: ?/ ?|[ -]))\d{3,8}(?:[ -]\d{2,5}){0,2}(?!\w|[.-]\w))",
+    rf"(?P<name>(?<!\w)(?={_CAPITAL}){_NAME}(?:-{_CAPITAL}[^\W\d_]+)?(?:\s(?:{_NAME}|{_CAPITAL}\.)(?=\s)){{0,2}}\s(?:(?:van|von|der|den|de|del|la|di|du|zu)\s){{0,2}}{_SURNAME}(?!\w))",
 )
+#: Countries' codes of one and two digits (all others have three), and the most
+#: digits of a number with its code, where that is less than fifteen.
+_CODE = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+_MOST = {"1": 11, "7": 11, "30": 12, "31": 11, "32": 11, "33": 11, "34": 11, "39": 12, "41": 11, "43": 13, "44": 12, "45": 10, "46": 12, "47": 10, "48": 11, "49": 13, "351": 12, "353": 12}
+#: Words that are no one's short name, though they follow a given name.
+_NO_NAME = frozenset("A An And As At But By For From He Her His How I If In It My No Not Of On Or Our She So That The Their Then There They This To We What When Where Who Why With You "
+                     "Aber Als Am Auf Aus Bei Da Das Dem Den Der Die Ein Eine Er Es Ich Ihr Im Ist Mit Nach Sie Sein Um Und Von Was Wie Wir Zu "
+                     "Au Aux Ce Ces Dans De Des Du Elle Elles En Est Et Il Ils Je La Le Les Mais Nous On Ou Par Pour Que Qui Sur Un Une Vous "
+                     "Con Del El Ella En Es Lo Los Las Ni Pero Por Se Si Su Una Uno Y Yo".split())
 #: Every form but cards, and where a run of digits begins that may hold cards.
 _OTHERS = re.compile("|".join(_FORMS))
 PATTERNS = re.compile("|".join((*_FORMS[:3], r"(?P<run>(?<![\w.])\d(?:[ -]?\d){12})", *_FORMS[3:])))
@@ -70,6 +112,7 @@ _PRINTED = tuple(re.compile(rf"(?<![\w.])(?:{form})(?!\w)") for form in (
 _ISSUED = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2[2-7]\d{14}|3[47]\d{13}|3[068]\d{12}|6\d{15,18}")
 #: A text without any of these cannot hold an entity but a name.
 _HINT = re.compile(r"\d|@")
+_GIVEN_NAME = re.compile(rf"(?<!\w)(?={_CAPITAL}){_NAME}\b")
 
 
 def luhn(digits: str) -> bool:
@@ -81,9 +124,10 @@ def luhn(digits: str) -> bool:
 
 
 def detected(text: str) -> list[tuple[str, int, int]]:
-    """(type, start, end) of the entities, from left to right."""
+    """(type, start, end) of the entities, from left to right.  ``given`` and
+    ``surname`` are short mentions of a person whose whole name the text has."""
     found = []
-    if not _HINT.search(text) and not any(n in text for n in _GENDER):
+    if not _HINT.search(text) and not _GIVEN_NAME.search(text):
         return found
     at = 0
     while m := PATTERNS.search(text, at):
@@ -91,9 +135,68 @@ def detected(text: str) -> list[tuple[str, int, int]]:
             inside, at = _in_run(text, *_RUN.match(text, m.start()).span())
             found += inside
         else:
-            found.append((m.lastgroup, *m.span()))
-            at = m.end()
-    return found
+            at = _end(m)
+            if at > m.start():
+                found.append((m.lastgroup, m.start(), at))
+            else:
+                at = m.end()
+    return _with_mentions(text, found)
+
+
+def _end(m: re.Match) -> int:
+    """Where the match ends: a telephone number in its international form where
+    its country's longest numbers do; its start if it has too few digits."""
+    value = m.group()
+    if m.lastgroup != "phone" or re.fullmatch(_PLAIN_PHONE, value):
+        return m.end()
+    bare = re.sub(r"^(?:\+|00(?=[1-9]))", "", value)
+    if len(bare) == len(value):  # a national number
+        return m.end() if sum(map(str.isdigit, value)) >= 9 else m.start()
+    most = _MOST.get(_CODE.match(re.sub(r"\D", "", bare) + "00").group(), 15)
+    groups = [(g.start(), g.end()) for g in re.finditer(r"\d+", bare)]
+    while len(groups) > 1 and sum(e - s for s, e in groups) > most:
+        groups.pop()
+    n = sum(e - s for s, e in groups)
+    return m.start() + len(value) - len(bare) + groups[-1][1] if 7 <= n <= 15 else m.start()
+
+
+def _parts(name: str) -> tuple[str, str]:
+    """The given name and the surname that may stand for a whole name."""
+    words = name.split()
+    return words[0], words[-1]
+
+
+def _with_mentions(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    short: dict[str, str] = {}
+    for k, s, e in found:
+        if k == "name":
+            given, surname = _parts(text[s:e])
+            short |= {given: "given"} | ({} if surname in _NO_NAME else {surname: "surname"})
+    if not short:
+        return found
+    form = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(map(re.escape, short), key=len, reverse=True))})(?!\w)")
+    out, at = [], 0
+    for k, s, e in [*found, ("", len(text), len(text))]:
+        out += [(short[m.group()], *m.span()) for m in form.finditer(text, at, s)]
+        out.append((k, s, e))
+        at = e
+    return out[:-1]
+
+
+def with_persons(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(type, canonical value, start, end); of a short mention the value is the
+    whole name: the nearest before it that has this part, else the first after."""
+    names = [(s, canonical(k, text[s:e])) for k, s, e in found if k == "name"]
+    known: dict[tuple[str, str], str] = {}
+    for _, v in reversed(names):
+        known |= dict(zip((("given", _parts(v)[0]), ("surname", _parts(v)[1])), (v, v)))
+    out = []
+    for k, s, e in found:
+        value = canonical(k, text[s:e])
+        if k == "name":
+            known |= dict(zip((("given", _parts(value)[0]), ("surname", _parts(value)[1])), (value, value)))
+        out.append((k, known[k, value] if k in ("given", "surname") else value, s, e))
+    return out
 
 
 def _in_run(text: str, start: int, end: int) -> tuple[list[tuple[str, int, int]], int]:
@@ -120,9 +223,10 @@ def _in_run(text: str, start: int, end: int) -> tuple[list[tuple[str, int, int]]
     for s, e in zip([start, *(b for _, _, b in cards)], [*(a for _, a, _ in cards), None]):
         at = s
         while (m := _OTHERS.search(text, at, len(text) if e is None else e)) and m.start() < end:
-            at = wrong.get(m.start(), m.end())
-            if m.start() not in wrong:
-                others.append((m.lastgroup, *m.span()))
+            stop = _end(m)
+            at = wrong.get(m.start(), stop if stop > m.start() else m.end())
+            if m.start() not in wrong and stop > m.start():
+                others.append((m.lastgroup, m.start(), stop))
                 last = max(last, at)
     whole = text[start:end]
     if not cards and len(set(re.sub(r"\d", "", whole))) <= 1 and _valid(whole) and not re.match(r"\w", text[end:end + 1]):
@@ -228,17 +332,19 @@ def surrogate(perm: Permutation, kind: str, value: str, attempt: int = 0) -> str
         body = value[0] + permuted(perm, tweak + value[0], value[1:-1])
         return next(body + str(c) for c in range(10) if luhn(body + str(c)))
     if kind == "phone":
-        m = re.match(r"\+\d{1,3}(?=\d{10}$)", value)
+        m = re.match(rf"(?:\+|00(?=[1-9]))(?:{_CODE.pattern})(?=\d{{4}})|0", value)
         head = m.group() if m else ""
         return head + permuted(perm, tweak + head, value[len(head):])
     if kind == "key":
         return value[:4] + permuted(perm, tweak, value[4:])
     if kind == "name":
-        given, _, rest = value.partition(" ")
+        given = re.split(r"[ -]", value, maxsplit=1)[0]
         names = GIVEN[_GENDER[given]]
-        # A keyed rotation: one to one, and never the name itself.
-        turn = 1 + int.from_bytes(hmac.digest(perm.key, f"{tweak}|{rest}|{_GENDER[given]}".encode(), hashlib.sha256)[:8], "big") % (len(names) - 1)
-        return f"{names[(names.index(given) + turn) % len(names)]} {permuted(perm, tweak, rest)}"
+        # A keyed rotation: one to one, and never the name itself; the same with
+        # and without what stands between given name and surname.
+        turn = 1 + int.from_bytes(hmac.digest(perm.key, f"{tweak}|{_parts(value)[1]}|{_GENDER[given]}".encode(), hashlib.sha256)[:8], "big") % (len(names) - 1)
+        rest = re.sub(r"[^ -]+", lambda w: w.group() if w.group().islower() else permuted(perm, tweak, w.group()), value[len(given):])
+        return names[(names.index(given) + turn) % len(names)] + rest
     return permuted(perm, tweak, value)
 
 
@@ -250,7 +356,10 @@ def shaped(kind: str, mention: str, made: str) -> str:
         digits = iter(made)
         return "".join(next(digits) if c.isdigit() or c == "+" else c for c in mention)
     if kind == "name":
-        return re.sub(" ", lambda _: re.search(r"\s", mention).group(), made, count=1)
+        gaps = iter(re.findall(r"\s+", mention))
+        return re.sub(" ", lambda _: next(gaps), made)
+    if kind in ("given", "surname"):
+        return _parts(made)[kind == "surname"]
     return made
 
 
@@ -260,7 +369,7 @@ def entity_batches(batches):
         for i, t in zip(b.column(0), b.column(1)):
             if t.is_valid:
                 text = t.as_py()
-                rows |= {(i.as_py(), k, canonical(k, text[s:e])) for k, s, e in detected(text)}
+                rows |= {(i.as_py(), k, canonical(k, text[s:e])) for k, s, e in detected(text) if k not in ("given", "surname")}
         yield _batch(sorted(rows, key=str), ["doc_id", "kind", "value"])
 
 
@@ -287,10 +396,10 @@ def replaced_batches(batches, key):
                 out.append((i.as_py(), None, 0))
                 continue
             special = {(x["kind"], x["value"]): x["made"] for x in other.as_py() or ()}
-            at, parts, found = 0, [], detected(text)
-            for k, s, e in found:
-                value = canonical(k, text[s:e])
-                made = special.get((k, value)) or surrogate(perm, k, value)
+            at, parts, found = 0, [], with_persons(text, detected(text))
+            for k, value, s, e in found:
+                kind = "name" if k in ("given", "surname") else k
+                made = special.get((kind, value)) or surrogate(perm, kind, value)
                 parts += [text[at:s], shaped(k, text[s:e], made)]
                 at = e
             out.append((i.as_py(), "".join([*parts, text[at:]]), len(found)))

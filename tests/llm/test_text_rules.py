@@ -178,6 +178,26 @@ def test_neighbouring_numbers_are_all_replaced(spark):
     assert kinds("4539 5787 6362 1487") == []
 
 
+def test_persons_and_telephone_numbers_of_many_forms(spark):
+    kinds = lambda t: [(k, t[s:e]) for k, s, e in surrogates.detected(t)]
+    for number in ("+49 30 12345678", "+33 1 23 45 67 89", "0049 30 12345678", "030 12345678", "089/1234567", "(030) 1234567", "01 23 45 67 89", "+49 (0)30 12345678", "0171 1234567",
+                   "+44 20 7946 0958", "01 234 567", "+44 (1234) 5678 9012"):
+        assert kinds(f"call {number}, now") == [("phone", number)]
+    assert kinds("+33 1 23 45 67 89 2024") == [("phone", "+33 1 23 45 67 89")]
+    assert kinds("01-2024, 02/2024, 2024-01-05 12:30, 0.1234 5678, 007 1234") == []
+    perm = surrogates.Permutation(KEY)
+    assert surrogates.surrogate(perm, "phone", "+33123456789")[:3] == "+33" and surrogates.surrogate(perm, "phone", "+351912345678")[:4] == "+351"
+    text = "Alice Smith met James Smith and John F. Kennedy. Alice said that Mr. Kennedy is late. Laura Smith-Jones and Jean-Pierre Martin came with Peter von der Leyen."
+    rows = [(1, text), (2, "Alice Smith alone"), (3, "Alice alone"), (4, "Smith first, then Alice\nSmith. John The. The end")]
+    got = {r["doc_id"]: r for r in rows_of(surrogates.replace(make_docs(spark, rows), KEY))}
+    new = got[1]["text"]
+    assert got[1]["n_replaced"] == 8 and not re.search("Alice|Smith|James|John|Kennedy|Laura|Jones|Jean|Martin|Leyen", new)
+    given, surname = new.split()[:2]
+    assert f"{given} said" in new and got[2]["text"] == f"{given} {surname} alone" and new.split()[4] == surname  # one family
+    assert re.search(r"and (\S+ [A-Z]\. (\S+))\. .* Mr\. \2 is", new) and got[3]["text"] == "Alice alone"
+    assert got[4]["text"].startswith(f"{surname} first, then {given}\n{surname}.") and got[4]["text"].endswith(". The end")
+
+
 # --- toxicity -------------------------------------------------------------------
 
 
