@@ -4,9 +4,10 @@ Every run of ``K`` words of a template is hashed, and of each ``W`` neighbouring
 hashes the smallest is kept (the rightmost of equals); an inverted index maps the
 kept hashes to templates and places.  The words of a document are winnowed in the
 same way, so each stretch of ``K + W - 1`` words that it shares with a template
-gives a hit.  Hits on neighbouring diagonals make a candidate, which is aligned
-with the whole template by dynamic programming within a band around them.  A
-match reports the share of the template's words that are matched (coverage) and
+gives a hit.  Hits on neighbouring diagonals that go on in the template make a
+candidate, which is aligned with the whole template by dynamic programming within
+a band around them, again and again on the words that no match covers, so each of
+any number of repeats is found.  A match reports the share of the template's words that are matched (coverage) and
 its span in the text.  Of overlapping matches the one with the most matched words
 stays (then the best coverage, then the name).
 
@@ -20,6 +21,7 @@ result; further columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -105,18 +107,29 @@ class Index:
         if not len(kept) or not len(self.known):
             return []
         k = np.minimum(np.searchsorted(self.known, kept), len(self.known) - 1)
-        hits = sorted((t, int(p) - q, int(p)) for x, p in zip(kept[self.known[k] == kept].tolist(), at[self.known[k] == kept].tolist()) for t, q in self.places[x])
+        hits = sorted((t, int(p), q) for x, p in zip(kept[self.known[k] == kept].tolist(), at[self.known[k] == kept].tolist()) for t, q in self.places[x])
         out: list[list[int]] = []
-        for t, diagonal, _ in hits:
-            if out and out[-1][0] == t and diagonal - out[-1][2] <= BAND:
-                out[-1][2] = diagonal
+        open_: list[list[int]] = []  # (index in out, last diagonal, last template place, last place)
+        now = None
+        for t, p, q in hits:
+            if t != now:
+                now, open_ = t, []
+            open_ = [x for x in open_ if p - x[3] <= len(self.words[t]) + BAND]
+            # A hit that repeats a template place begins another candidate.
+            x = min((x for x in open_ if abs(p - q - x[1]) <= BAND and q > x[2]), key=lambda x: abs(p - q - x[1]), default=None)
+            if x is None:
+                open_.append([len(out), p - q, q, p])
+                out.append([t, p - q, p - q])
             else:
-                out.append([t, diagonal, diagonal])
+                x[1:] = p - q, q, p
+                c = out[x[0]]
+                c[1], c[2] = min(c[1], p - q), max(c[2], p - q)
         return [tuple(x) for x in out]
 
-    def aligned(self, h: np.ndarray, t: int, low: int, high: int) -> tuple[int, int, int]:
+    def aligned(self, h: np.ndarray, t: int, low: int, high: int, covered: bytearray) -> tuple[int, int, int]:
         """The best local alignment of template ``t`` within the band of
-        diagonals: (matched words, first word, end word) in the document.
+        diagonals, over words that are not ``covered``: (matched words, first
+        word, end word) in the document.
 
         Cell (i, j) stands for template word i and document word i + low - BAND + j.
         """
@@ -128,7 +141,7 @@ class Index:
             now = [(0, 0, -1)] * (width + 1)
             for j in range(width):
                 d = i + base + j
-                if not 0 <= d < len(h):
+                if not 0 <= d < len(h) or covered[d]:
                     continue
                 same = int(h[d]) == w
                 s, m, start = before[j]
@@ -146,17 +159,23 @@ class Index:
     def matches(self, text: str, min_coverage: float) -> list[tuple[str, float, int, int, int]]:
         """(name, coverage, matched words, start, end) with places in characters."""
         h = hashes(_WORD.findall(text.lower()))
-        found = []
-        for t, low, high in self.candidates(h):
-            matched, first, end = self.aligned(h, t, low, high)
-            if matched and matched >= min_coverage * len(self.words[t]):
-                found.append((-matched, -matched / len(self.words[t]), self.names[t], first, end))
-        if not found:
-            return []
-        taken: list[tuple] = []
-        for x in sorted(set(found)):
-            if all(x[4] <= y[3] or y[4] <= x[3] for y in taken):
+        covered, taken, found = bytearray(len(h)), [], []
+
+        def look(c):
+            matched, first, end = self.aligned(h, *c, covered)
+            if matched and matched >= min_coverage * len(self.words[c[0]]):
+                heapq.heappush(found, (-matched, -matched / len(self.words[c[0]]), self.names[c[0]], first, end, c))
+
+        for c in dict.fromkeys(self.candidates(h)):
+            look(c)
+        while found:  # the best first; its candidate may hold more, or another place if this one is covered
+            *x, c = heapq.heappop(found)
+            if not any(covered[x[3]:x[4]]):
                 taken.append(x)
+                covered[x[3]:x[4]] = b"\1" * (x[4] - x[3])
+            look(c)
+        if not taken:
+            return []
         lower = text.lower()
         # str.lower can change lengths; spans are then those of the folded text.
         spans = [m.span() for m in _WORD.finditer(text if len(lower) == len(text) else lower)]

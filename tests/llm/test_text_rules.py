@@ -81,6 +81,25 @@ def test_notices_are_found_with_their_spans(spark):
     assert rows_of(licenses.scan(make_docs(spark, []))) == []
 
 
+def test_every_repeat_of_a_notice_is_found(spark):
+    """Notices line after line, of any period, with and without words between."""
+    rows, want = [], {}
+    for name in ("MIT (notice)", "CC-BY-4.0 (notice)", "Apache-2.0 (notice)", "ISC", "All rights reserved"):
+        for n in (1, 2, 3, 7, 40):
+            for between in ("\n", " x ", " one two three\n"):
+                i = len(rows)
+                rows.append((i, "start " + between.join([licenses.TEMPLATES[name]] * n) + " end"))
+                want[i] = [(name, m.start()) for m in re.finditer(re.escape(licenses.TEMPLATES[name]), rows[-1][1])]
+    mixed = ["MIT (notice)", "CC-BY-4.0 (notice)", "CC-BY-NC-4.0 (notice)", "MIT (notice)", "CC-BY-4.0 (notice)"] * 3
+    rows.append((len(rows), " ".join(licenses.TEMPLATES[x] for x in mixed)))
+    got = {}
+    for r in rows_of(licenses.scan(make_docs(spark, rows))):
+        assert r["coverage"] == 1
+        got.setdefault(r["doc_id"], []).append((r["license"], r["span_start"]))
+    assert {i: sorted(got.get(i, [])) for i in want} == {i: sorted(x) for i, x in want.items()}
+    assert [x for x, _ in sorted(got[len(rows) - 1], key=lambda x: x[1])] == mixed
+
+
 def test_scan_against_plain_search(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     squash = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
