@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import bpe, divergence, exact_dedup, licenses, mixing, ngram_join, sharding, surrogates, toxicity, warc
+from snapstar.llm import bpe, decontaminate, divergence, exact_dedup, licenses, mixing, ngram_join, sharding, surrogates, toxicity, warc
 from snapstar.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -65,6 +65,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
@@ -75,10 +79,39 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), i AS (
+  SELECT item, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0
+), t AS (
+  SELECT DISTINCT item, k, array_to_string(w[s:s + k - 1], ' ') AS win FROM (SELECT *, unnest(generate_series(1, len(w) - k + 1)) AS s FROM i)
+), x AS (
+  SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM (SELECT r, k, w, unnest(generate_series(1, len(w) - k + 1)) AS s FROM d, (SELECT DISTINCT k FROM t) WHERE len(w) >= k)
+), hit AS (
+  SELECT r, s, k, item FROM x JOIN t USING (k, win)
+), pos AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(generate_series(s, s + k - 1)) AS p FROM (SELECT DISTINCT r, s, k FROM hit)) GROUP BY r
+), its AS (
+  SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hit GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_surrogates, op4_minimax_sharding, op5_exact_dedup, op6_toxicity, op7_divergence,
-                                 op8_byte_bpe, op9_warc, op10_licenses)}
+                                 op8_byte_bpe, op9_warc, op10_licenses, op13_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op13_decontamination": OP13_SQL}
