@@ -6,11 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import bpe, decontaminate, divergence, exact_dedup, licenses, mixing, ngram_join, sharding, surrogates, toxicity, warc
-from snapstar.llm.common import table
+from snapstar.llm import bpe, decontaminate, divergence, exact_dedup, licenses, mixing, ngram_join, periodic_runs, sharding, surrogates, toxicity, warc
+from snapstar.llm.common import WORD_BREAK, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -65,6 +65,30 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def with_planted_tails(docs: DataFrame) -> DataFrame:
+    """The documents that ``op11_periodic_runs`` reads: where the CRC-32 of the
+    decimal doc_id is divisible by ten, the words from a place on repeat a period
+    (both follow from the CRC)."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(crc / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % n
+        shape = F.struct(n.alias("n"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))
+        source = lambda i, s: F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % s["p"])
+        return F.transform(F.array(shape), lambda s: F.array_join(
+            F.transform(F.sequence(F.lit(0).cast("long"), s["n"] - 1), lambda i: F.element_at(w, (source(i, s) + 1).cast("int"))), " "))[0]
+
+    words = F.array_remove(F.split(F.col("text"), WORD_BREAK), "")
+    planted = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))[0]
+    return docs.withColumn("text", F.when(crc % 10 == 0, planted).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(with_planted_tails(table(spark, sf_dir, "documents")))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -110,7 +134,7 @@ FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_surrogates, op4_minimax_sharding, op5_exact_dedup, op6_toxicity, op7_divergence,
-                                 op8_byte_bpe, op9_warc, op10_licenses, op13_decontamination)}
+                                 op8_byte_bpe, op9_warc, op10_licenses, op11_periodic_runs, op13_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
