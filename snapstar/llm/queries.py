@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import bpe, decontaminate, divergence, exact_dedup, licenses, mixing, ngram_join, periodic_runs, sharding, surrogates, toxicity, warc
+from snapstar.llm import bpe, decontaminate, divergence, exact_dedup, hard_negatives, licenses, mixing, ngram_join, periodic_runs, sharding, surrogates, toxicity, warc
 from snapstar.llm.common import WORD_BREAK, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -89,6 +89,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(with_planted_tails(table(spark, sf_dir, "documents")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -103,6 +109,25 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r
+), p AS (
+  SELECT ar, anchor_id, vec_id AS positive_id, score AS positive_score, r AS pr FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.ar, pr ORDER BY s.score DESC, s.vec_id, s.r)
+QUALIFY row_number() OVER w <= 3
+"""
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -134,8 +159,8 @@ FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ngram_join, op2_mixing, op3_surrogates, op4_minimax_sharding, op5_exact_dedup, op6_toxicity, op7_divergence,
-                                 op8_byte_bpe, op9_warc, op10_licenses, op11_periodic_runs, op13_decontamination)}
+                                 op8_byte_bpe, op9_warc, op10_licenses, op11_periodic_runs, op12_hard_negatives, op13_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op13_decontamination": OP13_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op12_hard_negatives": OP12_SQL, "op13_decontamination": OP13_SQL}
