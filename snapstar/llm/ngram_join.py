@@ -6,11 +6,16 @@ shingle; without words the set is empty and links with nothing).  Two documents
 link when ``den * |A and B| >= num * |A or B|``.
 
 1. Equal sets are one node: its number is a fingerprint of the set.
-2. Tokens are hashed into groups.  Two linked sets differ in few tokens, so with
-   more groups than differences some group is equal in both: nodes that share no
-   equal group cannot link.  The number of groups follows the size class; a set
-   takes part in its own class and in those where its smaller partners are.
-   Groups of one token or none are left out where enough others remain.
+2. Tokens are hashed into groups.  Two linked sets differ in at most K tokens, so
+   of K + 1 + s groups s + 1 are equal in both.  The number of groups follows the
+   size class; a set takes part in its own class and in those where its smaller
+   partners are.  A group's content is a key if it has two tokens or more; empty
+   groups, which unrelated sets share, never are.  Groups of one token are keys
+   in pairs: they lie in s / 2 ranges, so of s / 2 + 1 equal ones two share a
+   range.  This finds all partners of a set with s - s / 2 empty groups at most.
+   Sets with more ("scattered", mostly small ones) meet the other scattered sets
+   by prefixes instead: their tokens in order of how many scattered sets hold
+   them, rare ones first, as many as a partner cannot lack altogether.
 3. Nodes that share a group are neighbours; the connected sets of neighbours
    (blocks) hold every link.  Large blocks are cut by size and hash into tiles.
 4. Within a tile, or a pair of tiles, the counts of tokens by group are the
@@ -21,8 +26,9 @@ link when ``den * |A and B| >= num * |A or B|``.
    are verified on their sets.
 
 Nothing is capped: every pair that could change a component is verified.  The
-tasks see equal groups as sorted streams; a tile holds ``TILE_TOKENS`` tokens (or
-one document).  All decisions cover whole texts.
+tasks see equal keys as sorted streams; what meets in a task, one tile or a pair
+of tiles, holds ``TILE_TOKENS`` tokens (or two documents), and the search of the
+trees keeps ``PAIRS`` pairs of nodes and their children for each level.  All decisions cover whole texts.
 
 Rows: null text has no words; rows with a null ``doc_id`` link with nothing and
 have a null component; rows that repeat a ``doc_id`` are rows of their own; an
@@ -46,11 +52,12 @@ from snapstar.session import stage
 TILE_TOKENS = 2_000_000
 #: Coordinates of a point, and children of a node of the tree.
 GROUPS, FANOUT = 32, 16
-#: Heads of components that are compared in one task, between tiles.
-HEADS = 2_000
+#: Pairs of nodes of two trees that are bounded at a time.
+PAIRS = 4_000
 #: Words whose hashes a Python worker keeps.
 WORDS_KEPT = 500_000
-RATIO = 1.5
+#: Sizes of a class, and groups beyond those that may differ, as a part of these.
+RATIO, SPARE = 1.3, 0.3
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -106,64 +113,78 @@ def size_class(n: int) -> int:
     return int(np.searchsorted(_BOUNDS, n, "right")) - 1
 
 
-def group_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """One key for each group that may be equal in a linked set."""
-    n, out = len(tokens), []
+def group_keys(tokens: np.ndarray, num: int, den: int) -> tuple[np.ndarray, bool]:
+    """Keys of which a linked set has one, and whether the set is scattered: only
+    partners that are so too may have none."""
+    n, out, scattered = len(tokens), [], False
     if not n:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), False
     content = _mixed(tokens ^ np.uint64(0xD6E8FEB86659FD93))
     for c in range(size_class(-(-n * num // den)), size_class(n) + 1):
         small = int(_BOUNDS[c + 1]) - 1  # the largest size of the smaller partner
         differ = (small + small * den // num) * (den - num) // (den + num)
-        spare = differ // 10
-        m = differ + 1 + spare
+        spare = int(differ * SPARE) + 2
+        m, ranges = differ + 1 + spare, spare // 2
         g = (_mixed(tokens + np.uint64(0x632BE59BD9B4E019 + c)) % np.uint64(m)).astype(np.int64)
         counts = np.bincount(g, minlength=m)
         sums = np.zeros(m, np.uint64)
         np.add.at(sums, g, content)
         keys = _mixed(sums + _mixed(np.arange(m, dtype=np.uint64) * np.uint64(256) + np.uint64(c)))
-        thin = counts <= 1
-        # An equal group is thin in both sets or in neither: with at most
-        # ``spare`` thin ones, an equal group remains among the others.
-        out.append(keys[~thin] if thin.sum() <= spare else keys)
-    return np.concatenate(out)
-
-
-def node_batches(batches, words: int):
-    for b in batches:
-        n, fp = [], []
-        for t in b.column(1):
-            s = shingle_set(t.as_py(), words)
-            n.append(len(s))
-            fp.append(fingerprint(s))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.int64())], ["doc_id", "n_shingles", "node"])
-
-
-def key_batches(batches, words: int, num: int, den: int):
-    """(key, node) of each set, once for the copies within a task's input."""
+        out.append(keys[counts > 1])
+        scattered |= int((counts == 0).sum()) > spare - ranges
+        ones = np.flatnonzero(counts == 1)
+        at = ones * ranges // m
+        for apart in range(1, len(ones)):
+            near = at[apart:] == at[:-apart]
+            if not near.any():
+                break
+            out.append(_mixed(keys[ones[:-apart][near]] + _mixed(keys[ones[apart:][near]])))
+    return np.concatenate(out), scattered
+
+
+#: Kinds of the rows that a scan gives.
+NODE, KEY, TOKEN = 0, 1, 2
+
+
+def scan_batches(batches, words: int, num: int, den: int):
+    """(kind, doc_id, n, node, key): a NODE row for each document; for each set,
+    once for the copies within a task's input, its keys and, if it is scattered,
+    its tokens."""
     seen: set[int] = set()
-    keys, nodes, size = [], [], 0
-
-    def full():
-        nonlocal keys, nodes, size
-        out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
-        keys, nodes, size = [], [], 0
-        return out
-
     for b in batches:
+        ids, sizes, nodes, kinds, of, keys, n_of = [], [], [], [], [], [], []
+        size = 0
+
+        def rows():
+            found = [len(k) for k in keys]
+            columns = (np.r_[np.full(len(nodes), NODE), np.repeat(np.array(kinds, np.int64), found)].astype(np.int32),
+                       pa.array(ids + [None] * sum(found), pa.int64()),
+                       np.r_[np.array(sizes, np.int64), np.repeat(np.array(n_of, np.int64), found)],
+                       np.r_[np.array(nodes, np.int64), np.repeat(np.array(of, np.int64), found)],
+                       np.concatenate([np.zeros(len(nodes), np.int64), *[k.view(np.int64) for k in keys]]))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "doc_id", "n", "node", "key"])
+
         for i, t in zip(b.column(0), b.column(1)):
             s = shingle_set(t.as_py(), words)
-            if not len(s) or not i.is_valid or (fp := fingerprint(s)) in seen:
+            node = fingerprint(s)
+            ids.append(i.as_py())
+            sizes.append(len(s))
+            nodes.append(node)
+            if not len(s) or not i.is_valid or node in seen:
                 continue
-            seen.add(fp)
-            k = group_keys(s, num, den)
-            keys.append(k)
-            nodes.append(np.full(len(k), fp, np.int64))
-            size += len(k)
-            if size > 100_000:
-                yield full()
-    if size:
-        yield full()
+            seen.add(node)
+            found, scattered = group_keys(s, num, den)
+            for kind, k in ((KEY, found), (TOKEN, s))[:1 + scattered]:
+                kinds.append(kind)
+                of.append(node)
+                keys.append(k)
+                n_of.append(len(s))
+                size += len(k)
+            if size > 200_000:
+                yield rows()
+                ids, sizes, nodes, kinds, of, keys, n_of = [], [], [], [], [], [], []
+                size = 0
+        yield rows()
 
 
 def neighbour_batches(batches):
@@ -217,18 +238,18 @@ class RTree:
         stack = [(len(self.levels) - 1, len(other.levels) - 1, np.zeros((1, 2), np.int64))]
         while stack:
             la, lb, at = stack.pop()
-            for part in np.array_split(at, -(-len(at) // 20_000)) if len(at) else ():
-                (ua, na), (ub, nb) = self.levels[la], other.levels[lb]
-                i, j = part[:, 0], part[:, 1]
-                bound = np.minimum(ua[i], ub[j]).sum(1, dtype=np.int64)
-                part = part[bound * (num + den) >= num * (na[i] + nb[j])]
-                if not len(part):
-                    continue
-                if la == lb == 0:
-                    part = part[part[:, 0] < part[:, 1]] if same else part
-                    if len(part):
-                        yield np.stack([self.order[part[:, 0]], other.order[part[:, 1]]], 1)
-                    continue
+            if len(at) > PAIRS:  # the first go down to the leaves before the rest
+                stack.append((la, lb, at[PAIRS:]))
+            part = at[:PAIRS]
+            (ua, na), (ub, nb) = self.levels[la], other.levels[lb]
+            i, j = part[:, 0], part[:, 1]
+            bound = np.minimum(ua[i], ub[j]).sum(1, dtype=np.int64)
+            part = part[bound * (num + den) >= num * (na[i] + nb[j])]
+            if la == lb == 0:
+                part = part[part[:, 0] < part[:, 1]] if same else part
+                if len(part):
+                    yield np.stack([self.order[part[:, 0]], other.order[part[:, 1]]], 1)
+            elif len(part):
                 down_a, down_b = la >= lb and la > 0, lb >= la and lb > 0
                 ca = part[:, :1] * FANOUT + np.arange(FANOUT) if down_a else part[:, :1]
                 cb = part[:, 1:] * FANOUT + np.arange(FANOUT) if down_b else part[:, 1:]
@@ -247,13 +268,19 @@ def points_of(sets: list[np.ndarray]) -> np.ndarray:
 def joined(sets_a: list, sets_b: list | None, label: np.ndarray, num: int, den: int) -> np.ndarray:
     """Labels after joining the sets (of one tile, or of two): ``label`` numbers
     the components known before, of A and then of B."""
-    parent = {int(x): int(x) for x in label}
+    names, component = np.unique(label, return_inverse=True)
+    parent = np.arange(len(names))
 
     def root(x: int) -> int:
         while parent[x] != x:
             parent[x] = x = parent[parent[x]]
         return x
 
+    def roots() -> np.ndarray:
+        while not np.array_equal(up := parent[parent], parent):
+            parent[:] = up
+        return parent[component]
+
     sizes = np.array([len(s) for s in [*sets_a, *(sets_b or [])]], np.int64)
     sets, first = [*sets_a, *(sets_b or [])], len(sets_a)
     points = points_of(sets)
@@ -261,15 +288,16 @@ def joined(sets_a: list, sets_b: list | None, label: np.ndarray, num: int, den:
     b = RTree(points[first:], sizes[first:]) if sets_b is not None else a
     for found in a.pairs(b, num, den):
         i, j = found[:, 0], found[:, 1] + (first if sets_b is not None else 0)
-        now = np.array([root(int(x)) for x in label])
-        for x, y in zip(i[now[i] != now[j]].tolist(), j[now[i] != now[j]].tolist()):
-            rx, ry = root(int(label[x])), root(int(label[y]))
+        now = roots()
+        open_ = now[i] != now[j]
+        for x, y in zip(i[open_].tolist(), j[open_].tolist()):
+            rx, ry = root(component[x]), root(component[y])
             if rx == ry:
                 continue
             both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
             if both * (num + den) >= num * int(sizes[x] + sizes[y]):
                 parent[max(rx, ry)] = min(rx, ry)
-    return np.array([root(int(x)) for x in label])
+    return names[roots()]
 
 
 def tile_batches(batches, words: int, num: int, den: int):
@@ -320,30 +348,43 @@ def _size_tile(n):
     return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(2)))).cast("int")
 
 
+def _rare_prefixes(tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, node): of each scattered set (rows of tokens) so many of its rarest
+    tokens that no linked set lacks all of them."""
+    each = tokens.select(F.col("key").alias("token"), "node", "n").distinct()
+    held = each.groupBy("token").agg(F.count("*").alias("held"))
+    order = each.join(held.hint("merge"), "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("order"))
+    length = F.expr(f"CAST(n + 1 - (n * {num} + {den - 1}) div {den} AS int)")
+    first = order.select("node", F.explode(F.slice("order", F.lit(1), length)).alias("x"))
+    return first.select(F.xxhash64(F.col("x.token"), F.lit("rare")).alias("key"), "node")
+
+
 def similarity_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, tile_tokens: int = TILE_TOKENS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, and ``node``, which
     rows with equal sets share."""
     if 2 * num < den:
         raise ValueError("a similarity of 1/2 or more is asked for")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    nodes = stage(map_arrow(texts, "snapstar.llm.ngram_join:node_batches", "doc_id long, n_shingles long, node long", words=words), "ngram-nodes")
-    keys = map_arrow(texts, "snapstar.llm.ngram_join:key_batches", "key long, node long", words=words, num=num, den=den)
+    scan = stage(map_arrow(texts, "snapstar.llm.ngram_join:scan_batches", "kind int, doc_id long, n long, node long, key long", words=words, num=num, den=den), "ngram-scan")
+    nodes = scan.where(F.col("kind") == NODE).select("doc_id", F.col("n").alias("n_shingles"), "node")
+    keys = scan.where(F.col("kind") == KEY).select("key", "node").unionByName(_rare_prefixes(scan.where(F.col("kind") == TOKEN), num, den))
     shared = keys.repartition("key").sortWithinPartitions("key", "node")
     near = map_arrow(shared, "snapstar.llm.ngram_join:neighbour_batches", "a long, b long")
     blocks = components(near, "ngram-blocks")
     blocks = stage(blocks.unionByName(blocks.select(F.col("root").alias("node"), "root").distinct()), "ngram-blocks")
 
     # One row stands for each node; blocks with too many tokens are cut into
-    # tiles by size and, where one size has too many, by hash.
+    # tiles by size and, where one size has too many, by hash, of half as many
+    # tokens each, since two of them meet.
     heads = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
     members = blocks.join(heads, "node").withColumn("by_size", _size_tile(F.col("n")))
     per_size = members.groupBy("root", "by_size").agg(F.sum("n").alias("tokens"))
     whole = per_size.groupBy("root").agg(F.sum("tokens").alias("all"))
     plan = (per_size.join(whole, "root").select(
         "root", "by_size", F.when(F.col("all") <= tile_tokens, F.lit(-1)).otherwise(F.col("by_size")).alias("size_tile"),
-        F.when(F.col("all") <= tile_tokens, F.lit(1)).otherwise(F.ceil(F.col("tokens") / tile_tokens)).cast("int").alias("parts")))
+        F.when(F.col("all") <= tile_tokens, F.lit(1)).otherwise(F.ceil(2 * F.col("tokens") / tile_tokens)).cast("int").alias("parts")))
     placed = (members.join(plan, ["root", "by_size"])
-              .select("node", "doc_id", "root", "size_tile", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+              .select("node", "doc_id", "n", "root", "size_tile", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
               .withColumn("tile", F.when(F.col("size_tile") < 0, F.col("root")).otherwise(F.xxhash64("root", "size_tile", "part"))))
     placed = stage(placed, "ngram-tiles")
 
@@ -353,7 +394,7 @@ def similarity_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int =
                           words, num, den), "ngram-links")
     cut = placed.where("size_tile >= 0")
     if cut.limit(1).count():
-        links = stage(links.unionByName(_across(texts, cut, links, words, num, den)), "ngram-links")
+        links = stage(links.unionByName(_across(texts, cut, links, words, num, den, tile_tokens)), "ngram-links")
     found = components(links, "ngram-links")
 
     named = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -362,7 +403,7 @@ def similarity_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     return named.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
 
 
-def _across(texts: DataFrame, cut: DataFrame, links: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _across(texts: DataFrame, cut: DataFrame, links: DataFrame, words: int, num: int, den: int, tile_tokens: int) -> DataFrame:
     """Links between the tiles of large blocks.
 
     First one node of each component found within a tile is compared with such
@@ -372,10 +413,10 @@ def _across(texts: DataFrame, cut: DataFrame, links: DataFrame, words: int, num:
         roots = components(edges, "ngram-labels")
         return cut.join(roots.select("node", F.col("root").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    heads = labelled(links).groupBy("root", "size_tile", "label").agg(F.min(F.struct("node", "doc_id")).alias("h"), F.sum(F.lit(1)).alias("n"))
+    heads = labelled(links).groupBy("root", "size_tile", "label").agg(F.min(F.struct("node", "doc_id", "n")).alias("h"), F.count("*").alias("members"))
     # Heads of components of two or more; near copies have few of them.
-    heads = heads.where("n > 1").select("root", "size_tile", "label", "h.node", "h.doc_id")
-    parts = heads.groupBy("root", "size_tile").agg(F.ceil(F.count("*") / HEADS).alias("parts"))
+    heads = heads.where("members > 1").select("root", "size_tile", "label", "h.node", "h.doc_id", "h.n")
+    parts = heads.groupBy("root", "size_tile").agg(F.ceil(F.sum("n") / tile_tokens).alias("parts"))
     meet = heads.join(parts, ["root", "size_tile"]).withColumn("tile", F.xxhash64("root", "size_tile", F.pmod(F.xxhash64("label"), F.col("parts"))))
     quick = _linked(texts.join(meet, "doc_id").select(F.col("tile").alias("tile_a"), F.col("tile").alias("tile_b"), F.lit(0).alias("side"), "node", "label", "text"),
                     words, num, den)

@@ -129,3 +129,58 @@ def test_components(spark):
         x, y = root(a), root(b)
         parent[max(x, y)] = min(x, y)
     assert all(found.get(x, x) == root(x) for x in parent)
+
+
+@pytest.mark.parametrize("num,den", [(4, 5), (9, 10), (1, 2)])
+def test_linked_sets_share_a_key_or_are_both_scattered(num, den):
+    rng = np.random.default_rng(7)
+    seen = 0
+    for _ in range(3000):
+        a = np.unique(rng.integers(0, 1 << 62, int(rng.choice([1, 2, 5, 10, 20, 40, 90, 300]))).astype(np.uint64))
+        gone = rng.integers(0, len(a) * (den - num) // den + 1)
+        more = rng.integers(0, max(1, (len(a) - gone) * den // num - len(a) + 1))
+        b = np.unique(np.r_[rng.permutation(a)[gone:], rng.integers(0, 1 << 62, more).astype(np.uint64)])
+        both = len(np.intersect1d(a, b))
+        if not both or den * both < num * (len(a) + len(b) - both):
+            continue
+        (ka, sa), (kb, sb) = J.group_keys(a, num, den), J.group_keys(b, num, den)
+        assert len(np.intersect1d(ka, kb)) or (sa and sb)
+        seen += not (sa and sb)
+    assert seen > 300 or 2 * num == den  # at one half all sets of this kind are scattered
+
+
+def test_rare_prefixes_of_linked_sets_meet(spark):
+    rng = random.Random(5)
+    common = rng.sample(range(10**6), 12)
+    sets = {}
+    for i in range(0, 300, 2):
+        s = set(common[:rng.randint(0, 12)]) | set(rng.sample(range(10**6, 10**9), rng.randint(1, 25)))
+        sets[i] = s
+        sets[i + 1] = set(rng.sample(sorted(s), len(s) - len(s) // 5)) | (set(rng.sample(range(10**9, 10**10), 1)) if len(s) > 12 and rng.random() < 0.3 else set())
+    rows = [(i, len(s), x) for i, s in sets.items() for x in s] * 2
+    keys = {}
+    for r in rows_of(J._rare_prefixes(spark.createDataFrame(rows, "node long, n long, key long"), 4, 5)):
+        keys.setdefault(r["node"], set()).add(r["key"])
+    linked = [(i, i + 1) for i in range(0, 300, 2) if 5 * len(sets[i] & sets[i + 1]) >= 4 * len(sets[i] | sets[i + 1])]
+    assert len(linked) > 100 and all(keys[i] & keys[j] for i, j in linked)
+    assert max(sum(k in s for s in keys.values()) for k in set().union(*keys.values())) < 20
+
+
+@pytest.mark.parametrize("k,num,den", [(5, 4, 5), (3, 9, 10)])
+def test_unrelated_texts_share_few_keys(spark, k, num, den):
+    texts = [r["text"] for r in spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("text").collect()]
+    sets = {J.fingerprint(s): s for s in (J.shingle_set(t, k) for t in texts) if len(s)}
+    parent, first = {n: n for n in sets}, {}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for node, s in sets.items():
+        for key in J.group_keys(s, num, den)[0].tolist():
+            parent[root(node)] = root(first.setdefault(key, node))
+    sizes = {}
+    for n in sets:
+        sizes[root(n)] = sizes.get(root(n), 0) + 1
+    assert max(sizes.values()) <= 20 and len(sets) > 900
