@@ -25,6 +25,7 @@ import base64
 import gc
 import hashlib
 from array import array
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -39,6 +40,8 @@ from snapstar.llm.common import map_arrow
 #: older half and a full table starts anew: both only save repeated work.
 MEMO_ENTRIES = 700_000
 TABLE_ENTRIES = 400_000
+#: Ids that the stream decoder takes at a time.
+STREAMED = 65_536
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -306,6 +309,21 @@ class StreamDecoder:
         self.state, self.open = state, data[start:]
         return "".join(out)
 
+    def feed_ids(self, ids: np.ndarray) -> bytes:
+        """The text, in UTF-8, that many tokens complete.  Tokens that are whole
+        characters leave the machine between characters; only the others, and what
+        follows them while a character is open, pass through it byte by byte."""
+        out, at = [], 0
+        for k in [*np.flatnonzero(~self.codec.whole[ids]).tolist(), len(ids)]:
+            if self.open and at < k:
+                out.append(self.feed(int(ids[at])).encode())
+                at += 1
+            out.append(b"".join(map(self.codec.token_bytes.__getitem__, ids[at:k].tolist())))
+            if k < len(ids):
+                out.append(self.feed(int(ids[k])).encode())
+            at = k + 1
+        return b"".join(out)
+
     def finish(self) -> str:
         rest, self.open, self.state = self.open, b"", 0
         return "�" if rest else ""
@@ -316,15 +334,30 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _CODECS:
-        # Memos and states are millions of small tuples without cycles; walking
-        # them again and again for cycles takes a fifth of the time.
-        gc.disable()
         _CODECS[path, pattern] = Codec(path, pattern)
     return _CODECS[path, pattern]
 
 
+@contextmanager
+def no_cycle_search():
+    """Memos and states are millions of small tuples without cycles; walking them
+    again and again for cycles takes a fifth of the time.  The worker serves other
+    queries too, so what was set before is set again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def encode_batches(batches, path: str, pattern: str):
-    c = codec(path, pattern)
+    with no_cycle_search():
+        yield from _encoded(batches, codec(path, pattern))
+
+
+def _encoded(batches, c: Codec):
     for b in batches:
         ids = [np.frombuffer(c.encode(t or ""), "<u4").astype(np.int32) for t in b.column(1).to_pylist()]
         lengths = np.cumsum([0, *map(len, ids)])
@@ -340,15 +373,28 @@ def decode_batches(batches, path: str, pattern: str):
             [b.column(0), pa.array([c.decode(np.array(i or [], np.int64)) for i in b.column(1).to_pylist()], pa.string())], ["doc_id", "text"])
 
 
+def decoded_digest(c: Codec, ids: np.ndarray) -> str:
+    """SHA-256 of what the stream decoder gives for ``ids``, fed in pieces."""
+    decoder, sha = StreamDecoder(c), hashlib.sha256()
+    for at in range(0, len(ids), STREAMED):
+        sha.update(decoder.feed_ids(ids[at:at + STREAMED]))
+    sha.update(decoder.finish().encode())
+    return sha.hexdigest()
+
+
 def digest_batches(batches, path: str, pattern: str):
-    c = codec(path, pattern)
+    with no_cycle_search():
+        yield from _digests(batches, codec(path, pattern))
+
+
+def _digests(batches, c: Codec):
     for b in batches:
         n, sha, back = [], [], []
         for t in b.column(1):  # one text at a time: a batch may hold very long ones
             ids = c.encode(t.as_py() or "")
             n.append(len(ids) // 4)
             sha.append(hashlib.sha256(ids).hexdigest())
-            back.append(hashlib.sha256(c.decode_bytes(np.frombuffer(ids, "<u4"))[0]).hexdigest())
+            back.append(decoded_digest(c, np.frombuffer(ids, "<u4")))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -22,6 +22,9 @@ without any labelled row every rate is 1.
 
 from __future__ import annotations
 
+import warnings
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,6 +43,9 @@ MAX_STEPS, TOLERANCE = 100, 1e-6
 WORDS_KEPT = 400_000
 DENSE = 5
 
+#: What ``str.split`` takes for white space, as a regular expression of Java.
+PYTHON_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+
 _SIGNS = "#*$%&|<>!"
 
 
@@ -47,12 +53,25 @@ def _hashed(s: str) -> int:
     return xxhash.xxh32_intdigest(s.encode("utf-8", "replace")) % FEATURES
 
 
+class _Memo(dict):
+    """Hashes of endings and kinds, of which a corpus has few; emptied when full."""
+
+    def __missing__(self, s: str) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        h = self[s] = _hashed(s)
+        return h
+
+
+_MEMO = _Memo()
+
+
 def word_features(word: str) -> tuple[int, int, int]:
     """Hashed features of a word: itself, its ending, the kinds of its signs."""
     low = word.lower()
-    signs = "".join(sorted({c for c in word if not c.isalnum()})) if not word.isalnum() else ""
-    kinds = ("a" if word.islower() else "A" if word.isupper() else "Aa") + signs
-    return _hashed("w" + low), _hashed("e" + low[-3:]), _hashed("k" + kinds)
+    signs = "" if word.isalnum() else "".join(sorted({c for c in word if not c.isalnum()}))
+    kinds = ("a" if low == word and low.islower() else "A" if word.isupper() else "Aa") + signs
+    return _hashed("w" + low), _MEMO["e" + low[-3:]], _MEMO["k" + kinds]
 
 
 def dense_features(text: str, words: list[str]) -> list[float]:
@@ -107,13 +126,21 @@ def train(texts: list[str], labels: np.ndarray, domains: int, prior: np.ndarray,
     return Classifier(w, d, bias)
 
 
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class _Scorer:
     def __init__(self, model: Classifier):
         self.model = model
         self.clear()
 
     def clear(self):
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.rows: list[np.ndarray] = []
         self.table = np.zeros((0, self.model.weights.shape[1]))
 
@@ -122,10 +149,10 @@ class _Scorer:
         if len(self.number) > WORDS_KEPT:
             self.clear()
         known, had = self.number, len(self.number)
-        ids = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         if len(known) > had:
-            f = np.array([word_features(w) for w in list(known)[had:]], np.int64) if had == 0 else np.array([word_features(w) for w in dict.fromkeys(words) if known[w] >= had], np.int64)
             need = len(known)
+            f = np.array([word_features(w) for w in islice(reversed(known), need - had)][::-1], np.int64)
             if need > len(self.table):
                 grown = np.zeros((max(2 * len(self.table), need, 4096), self.table.shape[1]))
                 grown[:len(self.table)] = self.table
@@ -207,7 +234,13 @@ def rate_batches(batches, scale, steps):
 
 
 def fit_rates(rows: DataFrame, target: np.ndarray, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE):
-    """(scale, steps) for ``replayed`` from staged ``rows`` (n_tokens, posterior)."""
+    """(scale, steps, missed) for ``replayed`` from staged ``rows`` (n_tokens,
+    posterior); ``missed`` is the greatest difference from a target that is left,
+    as a part of the greatest target.
+
+    Steps end when the targets are met or when the totals stand still, where the
+    targets cannot be met by any nonnegative rates; a warning tells the latter, and
+    that ``max_steps`` was too few."""
     k = len(target)
     pair = lambda i, j: F.sum(F.col("n_tokens") * F.col("posterior")[i] * F.col("posterior")[j])
     got = rows.agg(*[pair(i, j).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
@@ -216,20 +249,27 @@ def fit_rates(rows: DataFrame, target: np.ndarray, max_steps: int = MAX_STEPS, t
     scale = np.where(diagonal > 0, 1 / np.sqrt(np.maximum(diagonal, 1e-300)), 0.0)
     lipschitz = max(float(np.linalg.eigvalsh(gram * scale[:, None] * scale[None, :]).max()), 1e-12)
     want = target * scale
+    most = max(np.abs(want).max(), 1e-300)
     steps: list[tuple[np.ndarray, float]] = []
-    pace = 1.0
-    for _ in range(max_steps):
+    pace, before, still = 1.0, None, 0
+    while True:
         sums = map_arrow(rows.select("n_tokens", "posterior"), "snapstar.llm.mixing:total_batches", "k int, total double", scale=scale, steps=steps)
         total = np.zeros(k)
         for r in sums.groupBy("k").agg(F.sum("total").alias("total")).collect():
             total[r["k"]] = r["total"]
         residual = total - want
-        if np.abs(residual).max() <= tolerance * max(np.abs(want).max(), 1e-300):
+        missed = float(np.abs(residual).max() / most)
+        still = still + 1 if before is not None and np.abs(total - before).max() <= tolerance * most else 0
+        if missed <= tolerance or still == 3 or len(steps) == max_steps:
             break
+        before = total
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         steps.append((residual / lipschitz, (pace - 1) / faster))
         pace = faster
-    return scale, steps
+    if missed > tolerance:
+        why = "no nonnegative rates meet them" if still == 3 else f"{max_steps} steps are too few"
+        warnings.warn(f"targets are missed by up to {missed:.2e} of the greatest: {why}", RuntimeWarning, stacklevel=3)
+    return scale, steps, missed
 
 
 def totals(rows: DataFrame, k: int) -> np.ndarray:
@@ -246,7 +286,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: s
     domains = sorted(weights)
     model = fit_classifier(docs, labels, domains)
     if model is None:
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"\s+"), "")).cast("long").alias("n_tokens"),
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), PYTHON_SPACE), "")).cast("long").alias("n_tokens"),
                            F.array(*[F.lit(0.0)] * len(domains)).alias("posterior"), F.lit(1.0).alias("rate"))
     rows = stage(posteriors(docs, model), "mixing-posteriors")
     now = totals(rows, len(domains))
@@ -254,21 +294,24 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: s
     share /= max(share.sum(), 1e-300)
     at = domains.index(anchor) if anchor else None
     all_ = now[at] / share[at] if anchor and share[at] > 0 else now.sum()
-    scale, steps = fit_rates(rows, share * all_)
+    scale, steps, _ = fit_rates(rows, share * all_)
     return rows.mapInArrow(worker("snapstar.llm.mixing:rate_batches", scale=scale, steps=steps), "doc_id long, n_tokens long, posterior array<double>, rate double")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
-    """Domains of the labelled table: toxic, else clean or poor by quality."""
-    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "poor").alias("domain"))
+    """Domains of the labelled table by quality: clean or poor, toxic rows too.
+    (Toxicity itself is no domain to be thinned here: the classifier's posteriors
+    for it are so soft that a small target lets few documents make up the whole.)"""
+    return labels.select("doc_id", F.when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "poor").alias("domain"))
 
 
-def sampled(docs: DataFrame, mixed: DataFrame, slack: float = 0.05) -> DataFrame:
+def sampled(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """``docs`` with each row as often as its rate says: the whole part, and once
-    more if a hash of doc_id falls below the rest.  Rates within ``slack`` of 1 are
-    taken as 1.  Rows with a null doc_id stay once."""
-    rate = F.when(F.abs(F.col("rate") - 1) <= slack, F.lit(1.0)).otherwise(F.col("rate"))
+    more if a hash of doc_id falls below the rest.  Rows with a null doc_id stay
+    once."""
+    copies, copy = ("_".join([name, *docs.columns]) for name in ("copies", "copy"))  # names that no column of docs has
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = mixed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(rate).alias("rate")).select("doc_id", F.floor(F.col("rate") + draw).cast("int").alias("_copies")).where("_copies <> 1")
-    left = docs.join(copies, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1))).where("_copies > 0")
-    return left.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    taken = (mixed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("rate").alias("rate"))
+             .select("doc_id", F.floor(F.col("rate") + draw).cast("int").alias(copies)).where(F.col(copies) != 1))
+    left = docs.join(taken, "doc_id", "left").withColumn(copies, F.coalesce(copies, F.lit(1))).where(F.col(copies) > 0)
+    return left.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])

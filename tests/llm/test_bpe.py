@@ -1,5 +1,6 @@
 """Encoding against the tiktoken library, decoding against the bytes."""
 
+import gc
 import hashlib
 import random
 
@@ -75,3 +76,18 @@ def test_odd_rows_and_round_trip(spark, odd_texts):
     empty = next(r for r in rows_of(bpe.round_trip(docs, PATH, PATTERN)) if r["doc_id"] == 0)
     assert (empty["n_tokens"], empty["ids_sha256"], empty["decoded_sha256"]) == (0, hashlib.sha256().hexdigest(), hashlib.sha256().hexdigest())
     assert rows_of(bpe.round_trip(make_docs(spark, []), PATH, PATTERN)) == []
+
+
+def test_stream_decoder_takes_runs_of_ids_as_it_takes_single_ones(monkeypatch):
+    c = bpe.codec(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    rng = random.Random(8)
+    odd = np.flatnonzero(~c.whole).tolist()
+    for _ in range(300):
+        ids = np.array([rng.choice(odd) if rng.random() < 0.4 else rng.randrange(len(c.token_bytes)) for _ in range(rng.randint(0, 30))], np.uint32)
+        one, many = bpe.StreamDecoder(c), bpe.StreamDecoder(c)
+        want = "".join([one.feed(int(i)) for i in ids] + [one.finish()]).encode()
+        cut = rng.randint(0, len(ids))
+        assert many.feed_ids(ids[:cut]) + many.feed_ids(ids[cut:]) + many.finish().encode() == want
+        monkeypatch.setattr(bpe, "STREAMED", 3)
+        assert bpe.decoded_digest(c, ids) == hashlib.sha256(want).hexdigest()
+    assert gc.isenabled()

@@ -61,12 +61,12 @@ def test_copies_follow_the_rates(spark, stages):
     """Each row as often as its rate's floor or ceiling; the expected tokens of the
     rates meet the targets with clean text as the anchor."""
     docs = spark.createDataFrame([tuple(r.values()) for r in stages[3]], DOC_SCHEMA)
-    labels = mixing.label_domains(spark.read.parquet(f"{SF}/labels.parquet")).where("domain <> 'toxic'")
+    labels = mixing.label_domains(spark.read.parquet(f"{SF}/labels.parquet"))
     rates = {r["doc_id"]: r["rate"] for r in rows_of(mixing.mix(docs, labels, corpus_pipeline.MIX, anchor="clean"))}
     before, after = key(stages[3]), key(stages[4])
     assert set(after) <= set(before) and len(rates) == len(before)
-    assert all(np.floor(rates[i] - 0.051) <= after[i, t] <= np.ceil(rates[i] + 0.051) for i, t in before)
-    assert abs(sum(after.values()) - sum(rates.values())) <= 4 * np.sqrt(len(rates)) + 0.05 * len(rates)
+    assert all(np.floor(rates[i]) <= after[i, t] <= np.ceil(rates[i]) for i, t in before)
+    assert abs(sum(after.values()) - sum(rates.values())) <= 4 * np.sqrt(len(rates))
 
 
 def test_digests_are_those_of_the_library(stages):
