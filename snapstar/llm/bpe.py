@@ -38,8 +38,11 @@ from snapstar.llm.common import map_arrow
 
 #: Entries of a word memo and of the transducer's table.  A full memo loses its
 #: older half and a full table starts anew: both only save repeated work.
-MEMO_ENTRIES = 700_000
-TABLE_ENTRIES = 400_000
+MEMO_ENTRIES = 350_000
+TABLE_ENTRIES = 200_000
+#: Entries that a worker keeps of each between two tasks, when other queries may
+#: need its memory.
+RESTING_ENTRIES = 60_000
 #: Ids that the stream decoder takes at a time.
 STREAMED = 65_536
 
@@ -159,6 +162,12 @@ class MergeTransducer:
         self.table[state << 8 | byte] = found = (n, out)
         return found
 
+    def rest(self) -> None:
+        if len(self.table) > RESTING_ENTRIES:
+            self._clear()
+        if len(self._pair) > RESTING_ENTRIES:
+            self._pair.clear()
+
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one pre-split piece.  A piece that is a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
@@ -188,6 +197,14 @@ class _Memo(dict):
         return value
 
 
+    def rest(self) -> None:
+        """Only the newest entries stay."""
+        if len(self) > RESTING_ENTRIES:
+            newest = list(islice(reversed(self.items()), RESTING_ENTRIES))
+            self.clear()
+            self.update(reversed(newest))
+
+
 class _Pieces(_Memo):
     """Little-endian ids of one match of the pattern."""
 
@@ -221,11 +238,17 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.fst = MergeTransducer(load_ranks(path))
         pieces, findall = _Pieces(self.fst), regex.compile(pattern).findall
-        self.chunks, self.spaced = _Chunks(pieces, findall, ""), _Chunks(pieces, findall, " ")
+        self.pieces, self.chunks, self.spaced = pieces, _Chunks(pieces, findall, ""), _Chunks(pieces, findall, " ")
         size = max(self.fst.bytes_of) + 1
         self.token_bytes = [self.fst.bytes_of.get(i, b"") for i in range(size)]
         self.whole = np.array([utf8_run(0, t)[0] == 0 for t in self.token_bytes])
 
+    def rest(self) -> None:
+        """Give back most of the memory between two tasks."""
+        for memo in (self.pieces, self.chunks, self.spaced):
+            memo.rest()
+        self.fst.rest()
+
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
@@ -339,22 +362,23 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 @contextmanager
-def no_cycle_search():
+def working(c: Codec):
     """Memos and states are millions of small tuples without cycles; walking them
     again and again for cycles takes a fifth of the time.  The worker serves other
-    queries too, so what was set before is set again."""
+    queries too, so what was set before is set again and most memos go."""
     was = gc.isenabled()
     gc.disable()
     try:
-        yield
+        yield c
     finally:
+        c.rest()
         if was:
             gc.enable()
 
 
 def encode_batches(batches, path: str, pattern: str):
-    with no_cycle_search():
-        yield from _encoded(batches, codec(path, pattern))
+    with working(codec(path, pattern)) as c:
+        yield from _encoded(batches, c)
 
 
 def _encoded(batches, c: Codec):
@@ -383,8 +407,8 @@ def decoded_digest(c: Codec, ids: np.ndarray) -> str:
 
 
 def digest_batches(batches, path: str, pattern: str):
-    with no_cycle_search():
-        yield from _digests(batches, codec(path, pattern))
+    with working(codec(path, pattern)) as c:
+        yield from _digests(batches, c)
 
 
 def _digests(batches, c: Codec):

@@ -54,7 +54,7 @@ TILE_TOKENS = 2_000_000
 GROUPS, FANOUT = 32, 16
 #: Pairs of nodes of two trees that are bounded at a time.
 PAIRS = 4_000
-#: Words whose hashes a Python worker keeps.
+#: Words whose hashes a Python worker keeps during a task.
 WORDS_KEPT = 500_000
 #: Sizes of a class, and groups beyond those that may differ, as a part of these.
 RATIO, SPARE = 1.3, 0.3
@@ -185,6 +185,7 @@ def scan_batches(batches, words: int, num: int, den: int):
                 ids, sizes, nodes, kinds, of, keys, n_of = [], [], [], [], [], [], []
                 size = 0
         yield rows()
+    _WORDS.clear()
 
 
 def neighbour_batches(batches):
@@ -332,6 +333,7 @@ def tile_batches(batches, words: int, num: int, den: int):
         links()
     if out:
         yield _edges(out)
+    _WORDS.clear()
 
 
 def _edges(out: list[tuple[int, int]]) -> pa.RecordBatch:
