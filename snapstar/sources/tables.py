@@ -7,7 +7,8 @@ supports it; with one on the classpath, ``DataFrame.mergeInto`` is a drop-in
 for :func:`merge_upsert`.
 
 Overwrite safety: a table is never overwritten by a plan that reads it.
-Replacement writes a staged table, then swaps names (single writer).
+Replacement writes a staged table, then swaps names (single writer); tables with
+versions and a history are in :mod:`snapstar.sources.versions`.
 """
 
 from __future__ import annotations
@@ -141,22 +142,34 @@ def replace(spark: SparkSession, df: DataFrame, name: str, partition_by: Sequenc
             sort_by: Sequence[str] = ()) -> None:
     """Full replace with schema overwrite through a staged table.
 
-    ``df`` may read ``name``: the staged write finishes before the old table
-    is dropped.  If a run dies between drop and rename, the next call finds
-    the staged table and completes the swap.
+    ``df`` may read ``name``: the staged write finishes first.  Then the old table
+    steps aside under another name, the staged one takes its place and the old one
+    goes.  A run that dies on the way leaves a whole table under one of the names,
+    which the next call (or :func:`recover`) puts right.  Versions, history and
+    several writers are what :mod:`snapstar.sources.versions` is for.
     """
-    staged = f"{name}__staged"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    _writer(df, "overwrite", partition_by, sort_by).saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    recover(spark, name)
+    _writer(df, "overwrite", partition_by, sort_by).saveAsTable(f"{name}__staged")
+    if table_exists(spark, name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+    recover(spark, name)
 
 
 def recover(spark: SparkSession, name: str) -> None:
-    """Finish an interrupted :func:`replace`."""
-    staged = f"{name}__staged"
-    if not table_exists(spark, name) and table_exists(spark, staged):
+    """Finish or undo an interrupted :func:`replace`.
+
+    The old table steps aside only when the staged one is whole: where ``name`` is
+    missing, the staged table is the new one; where it is there, a staged table may
+    be half written."""
+    staged, old = f"{name}__staged", f"{name}__old"
+    if table_exists(spark, name):
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    elif table_exists(spark, staged):
         spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    elif table_exists(spark, old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+    if table_exists(spark, name):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def merge_insert_only(
@@ -189,6 +202,12 @@ class DuplicateSourceKeys(ValueError):
     pass
 
 
+def refuse_repeated(source: DataFrame, keys: Sequence[str], name: str) -> None:
+    """A source key that occurs twice would match a row twice."""
+    if (n := source.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").count()):
+        raise DuplicateSourceKeys(f"{n} source keys occur more than once in the merge into {name}")
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
@@ -202,9 +221,7 @@ def merge_upsert(spark: SparkSession, source: DataFrame, name: str, keys: Sequen
     An existing table keeps its partition columns.  Where these are part of the
     key, only the partitions that the source touches are rewritten."""
     recover(spark, name)
-    twice = source.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
-    if (n := twice.count()):
-        raise DuplicateSourceKeys(f"{n} source keys occur more than once in the merge into {name}")
+    refuse_repeated(source, keys, name)
     if not table_exists(spark, name):
         _writer(source, "overwrite", partition_by, sort_by).saveAsTable(name)
         done = "created"
