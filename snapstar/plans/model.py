@@ -11,14 +11,19 @@ has HTTP status 500, every 89th arrivals response has another endpoint.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapstar.operators import quality as Q
 from snapstar.operators.asof import as_of_join
 from snapstar.operators.scd2 import version_history, versions_from_snapshots
+from snapstar.plans import bronze as B
 from snapstar.plans import transit as TR
+from snapstar.session import ensure_checkpoint_dir, stage
 from snapstar.sources import flatten as FL
+from snapstar.sources import versions as V
 
 MALFORMED, SERVER_ERROR, OTHER_ENDPOINT = 97, 31, 89
 
@@ -183,6 +188,52 @@ def model_contracts(spark, sf):
     ])
 
 
+def _published(spark, sf):
+    """The publications of all five sources, twice, and the arrival requests."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{uuid.uuid4().hex}"
+    requests = _t(spark, sf, "customer").select(F.concat(F.lit("/StopPoint/ST"), F.col("c_custkey").cast("string"), F.lit("/Arrivals")).alias("source_endpoint"))
+    stages = [(B.bronze_line_status, line_status_bronze, None), (B.bronze_stop_points, stop_points_bronze, None), (B.bronze_arrivals, arrivals_bronze, requests),
+              (B.bronze_weather, weather_bronze, None), (B.bronze_holidays, holidays_bronze, None)]
+    for run, responses, asked in stages:
+        batch = stage(responses(spark, sf), "responses")
+        # The payloads span years with few responses a day.
+        yield base, *[run(spark, batch, base, asked, strict=False, partition_by=()) for _ in range(2)]
+
+
+def bronze_publication(spark, sf):
+    """All five bronze stages over payloads of which some are bad, and a replay of
+    each: responses, what was committed and set apart, requests without a good
+    response, the bronze table's rows, and what the replay added."""
+    rows = []
+    for base, first, again in _published(spark, sf):
+        rows.append((first.dataset, first.responses, first.committed, first.quarantined, first.unanswered, V.read(spark, f"{base}/{first.dataset}").count(),
+                     again.committed + again.quarantined))
+    return spark.createDataFrame(rows, "dataset string, responses long, committed long, quarantined long, unanswered long, bronze_rows long, replay_added long")
+
+
+def bronze_station_outcomes(spark, sf):
+    """What became of the arrivals request of each station (customer)."""
+    requests = _t(spark, sf, "customer").select(F.concat(F.lit("/StopPoint/ST"), F.col("c_custkey").cast("string"), F.lit("/Arrivals")).alias("source_endpoint"), "c_custkey")
+    judged = B.judge(arrivals_bronze(spark, sf), TR.arrivals_contract())
+    return B.outcomes(judged, requests).select(F.col("c_custkey").alias("station"), "responses", "good", "outcome")
+
+
+def table_history(spark, sf):
+    """Versions of a table of orders: created from early ones, appended to, merged
+    with rows of which some are known, upserted; each version is read again."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orders-{uuid.uuid4().hex}"
+    od = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    part = F.col("o_orderkey") % 10
+    V.replace(spark, od.where(part < 4), base)
+    V.append(spark, od.where(part == 4), base)
+    V.merge_insert_only(spark, od.where(part.between(3, 6)), base, ["o_orderkey"])
+    V.merge_upsert(spark, od.where(part >= 6).withColumn("o_orderstatus", F.lit("X")), base, ["o_orderkey"])
+    log = V.history(spark, base).select("version", "operation", "rows_written", "total_rows")
+    counted = _union([V.read(spark, base, v).agg(F.lit(v).cast("long").alias("version"), F.count("*").alias("rows_read"), F.sum("o_orderkey").cast("long").alias("key_sum"),
+                                                  F.count_if(F.col("o_orderstatus") == "X").alias("updated")) for v in V.versions(spark, base)])
+    return log.join(counted, "version")
+
+
 def _holes(df: DataFrame, key: str, columns: list[str], step: int) -> DataFrame:
     """Nulls planted in each column, at other rows for each."""
     return df.withColumns({c: F.when(F.col(key) % step != k + 1, F.col(c)) for k, c in enumerate(columns)})
@@ -239,4 +290,5 @@ def version_list(spark, sf):
 
 def queries() -> dict:
     return {f.__name__: f for f in (model_line_status, model_arrivals, model_stop_points, model_stop_lines, model_weather, model_holidays,
-                                    model_contracts, model_rules, as_of_weekly, version_list)}
+                                    model_contracts, model_rules, as_of_weekly, version_list,
+                                    bronze_publication, bronze_station_outcomes, table_history)}

@@ -117,10 +117,36 @@ def _rules() -> str:
     return "WITH o AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders)\n" + "\nUNION ALL ".join(parts)
 
 
+def _publication() -> str:
+    whole = "key % 97 <> 0 AND key % 31 <> 0"
+    asked = "(SELECT count(*) FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 97 <> 0 AND o_orderkey % 31 <> 0 AND o_orderkey % 89 <> 0))"
+    days = "(SELECT DISTINCT date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS key FROM orders)"
+    parts = [("line_status", "ord", f"{whole} AND has_lines", "0"), ("stop_points", "(SELECT s_suppkey AS key FROM supplier)", whole, "0"), ("arrivals", "ord", whole, asked),
+             ("weather", "ord", f"{whole} AND key % 13 <> 0", "0"), ("bank_holidays", days, whole, "0")]
+    return ("WITH ord AS (SELECT o_orderkey AS key, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS has_lines FROM orders)\n" + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS responses, count(*) FILTER (WHERE {good}) AS committed, count(*) FILTER (WHERE NOT ({good})) AS quarantined, "
+        f"{open_} AS unanswered, count(*) FILTER (WHERE {good}) AS bronze_rows, CAST(0 AS BIGINT) AS replay_added FROM {table}" for name, table, good, open_ in parts))
+
+
+STATION_OUTCOMES = """
+    SELECT c_custkey AS station, count(o_orderkey) AS responses, count(o_orderkey) FILTER (WHERE o_orderkey % 97 <> 0 AND o_orderkey % 31 <> 0) AS good,
+           CASE WHEN count(o_orderkey) FILTER (WHERE o_orderkey % 97 <> 0 AND o_orderkey % 31 <> 0) > 0 THEN 'succeeded' WHEN count(o_orderkey) > 0 THEN 'failed' ELSE 'unanswered' END AS outcome
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey % 89 <> 0 GROUP BY 1"""
+
+HISTORY = """
+    WITH o AS (SELECT o_orderkey AS k, o_orderkey % 10 AS p FROM orders),
+    v AS (
+      SELECT 1 AS version, 'replace' AS operation, count(*) FILTER (WHERE p < 4) AS rows_written, count(*) FILTER (WHERE p < 4) AS rows_read, sum(k) FILTER (WHERE p < 4) AS key_sum, 0 AS updated FROM o
+      UNION ALL SELECT 2, 'append', count(*) FILTER (WHERE p = 4), count(*) FILTER (WHERE p <= 4), sum(k) FILTER (WHERE p <= 4), 0 FROM o
+      UNION ALL SELECT 3, 'merge', count(*) FILTER (WHERE p IN (5, 6)), count(*) FILTER (WHERE p <= 6), sum(k) FILTER (WHERE p <= 6), 0 FROM o
+      UNION ALL SELECT 4, 'upsert', count(*), count(*), sum(k), count(*) FILTER (WHERE p >= 6) FROM o)
+    SELECT CAST(version AS BIGINT) AS version, operation, rows_written, rows_read AS total_rows, rows_read, CAST(key_sum AS BIGINT) AS key_sum, CAST(updated AS BIGINT) AS updated FROM v"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "model_line_status": LINE_STATUS, "model_arrivals": ARRIVALS, "model_stop_points": STOP_POINTS, "model_stop_lines": STOP_LINES,
-        "model_weather": WEATHER, "model_holidays": HOLIDAYS, "model_contracts": _contracts(), "model_rules": _rules(),
+        "model_weather": WEATHER, "model_holidays": HOLIDAYS, "model_contracts": _contracts(), "bronze_publication": _publication(), "bronze_station_outcomes": STATION_OUTCOMES, "table_history": HISTORY, "model_rules": _rules(),
         "as_of_weekly": f"""WITH {SCD2_VERSIONS}
             SELECT f.event_id, f.user_id, f.ts, f.event_type, v.event_type AS version_event_type, v.effective_from, v.effective_to
             FROM events f JOIN v ON f.user_id = v.user_id AND f.ts >= v.effective_from AND (v.effective_to IS NULL OR f.ts < v.effective_to)""",

@@ -167,16 +167,22 @@ def _again(write: Callable[[], int]) -> int:
             continue
 
 
-def merge_insert_only(spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], null_safe: Sequence[str] = (), **layout) -> int:
+def merge_insert_only(spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], null_safe: Sequence[str] = (), within: Sequence[str] = (), **layout) -> int:
     """Append the source rows whose key is not there yet (one of each key); the
-    version reached.  Running it again adds no rows."""
+    version reached.  Running it again adds no rows.
+
+    ``within``: partition columns that a key always comes with.  Only their values
+    in the source are looked at in the table."""
     rows = source.dropDuplicates(list(keys))
 
     def write() -> int:
         now = latest(spark, base)
         if not now:
             return replace(spark, rows, base, "create", expected=0, **layout)
-        return append(spark, T.new_rows(read(spark, base, now), rows, keys, null_safe), base, "merge", expected=now, **layout)
+        there = read(spark, base, now)
+        if within:
+            there = there.join(rows.select(*within).distinct(), list(within), "left_semi")
+        return append(spark, T.new_rows(there.select(*keys), rows, keys, null_safe), base, "merge", expected=now, **layout)
 
     return _again(write)
 
