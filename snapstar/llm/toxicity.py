@@ -44,7 +44,7 @@ SAMPLE_CHARS = 8_000
 #: Passes over the sample, and steps at least (a small sample is passed more often).
 EPOCHS, MIN_STEPS = 5, 480
 #: Words whose projections a Python worker keeps.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 #: Windows that go through the network at a time.
 AT_ONCE = 2_048
 
@@ -102,10 +102,10 @@ class Network:
         x = np.concatenate([self.p["E"][ids], np.add.reduceat(self.p["C"][tri], first, axis=0) * scale[:, None]], 1) if words else np.zeros((0, 2 * DIM), np.float32)
         return x, ids, tri, first, scale
 
-    def gates(self, words: list[str]) -> np.ndarray:
-        """Input projections of both directions for each word."""
+    def gates(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Input projections of the two directions for each word."""
         x = self.inputs(words)[0]
-        return np.concatenate([x @ self.p["Wf"] + self.p["bf"], x @ self.p["Wb"] + self.p["bb"]], 1)
+        return x @ self.p["Wf"] + self.p["bf"], x @ self.p["Wb"] + self.p["bb"]
 
     def _read(self, gates, index, d, keep=None):
         """States of one direction over ``index`` (windows by steps)."""
@@ -123,11 +123,10 @@ class Network:
             out[:, t] = h @ o
         return out, h
 
-    def windows(self, gates: np.ndarray, index: np.ndarray) -> np.ndarray:
+    def windows(self, gates: tuple[np.ndarray, np.ndarray], index: np.ndarray) -> np.ndarray:
         """The logit of each window; ``gates`` by word number, padding at 0."""
-        half = 3 * HIDDEN
-        f, _ = self._read(np.ascontiguousarray(gates[:, :half]), index, "f")
-        b, _ = self._read(np.ascontiguousarray(gates[:, half:]), index[:, ::-1], "b")
+        f, _ = self._read(gates[0], index, "f")
+        b, _ = self._read(gates[1], index[:, ::-1], "b")
         s = f + b[:, ::-1]
         a = np.exp(s[:, :, 0] - s[:, :, 0].max(1, keepdims=True))
         return (a * s[:, :, 1]).sum(1) / a.sum(1) + self.p["head"][0]
@@ -247,7 +246,7 @@ class Scorer:
 
     def _clear(self):
         self.number: dict[str, int] = {}
-        self.rows = np.concatenate([self.net.p["pad"].reshape(1, -1), np.zeros((1023, 6 * HIDDEN), np.float32)])
+        self.rows = [np.concatenate([pad.reshape(1, -1), np.zeros((1023, 3 * HIDDEN), np.float32)]) for pad in self.net.p["pad"]]
 
     def _numbers(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.number) > WORDS_KEPT:
@@ -256,11 +255,13 @@ class Scorer:
         out = [np.array([known.setdefault(w, len(known) + 1) for w in words_of(t)], np.int64) for t in texts]
         new = list(known)[had:] if len(known) > had else []
         if new:
-            while len(known) >= len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            for d in (0, 1):
+                while len(known) >= len(self.rows[d]):
+                    self.rows[d] = np.concatenate([self.rows[d], np.zeros_like(self.rows[d])])
             for k in range(0, len(new), 20_000):
                 part = new[k:k + 20_000]
-                self.rows[had + 1 + k:had + 1 + k + len(part)] = self.net.gates(part)
+                for d, found in enumerate(self.net.gates(part)):
+                    self.rows[d][had + 1 + k:had + 1 + k + len(part)] = found
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:

@@ -230,7 +230,7 @@ def test_gradients_match_differences():
     labels = np.array([1.0, 0.0])
 
     def loss():
-        gates = np.concatenate([np.concatenate([net.p["pad"][0], net.p["pad"][1]])[None], net.gates(vocabulary)])
+        gates = [np.concatenate([pad[None], found]) for pad, found in zip(net.p["pad"], net.gates(vocabulary))]
         logits, _ = toxicity.soft_maximum(net.windows(gates, index), owner, 2)
         p = 1 / (1 + np.exp(-logits))
         return -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
