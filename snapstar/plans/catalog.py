@@ -965,9 +965,9 @@ def queries() -> dict[str, Query]:
         "status_mix": status_mix,
         "bridge_degree": bridge_degree,
     }
-    from snapstar.plans import model
+    from snapstar.plans import gold_model, model
 
-    q |= model.queries()
+    q |= model.queries() | gold_model.queries()
     for name in ("chk_duplicate_keys", "chk_orphans", "chk_scd2_integrity", "chk_reconcile", "chk_date_sets"):
         q[name] = _check_query(name)
 

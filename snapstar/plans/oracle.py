@@ -558,6 +558,6 @@ def oracle_sql() -> dict[str, str]:
     })
     for name, rows in _CHK_ROWS.items():
         q[name] = suite(rows, ctes=_CHK_CTES)
-    from snapstar.plans import model_oracle
+    from snapstar.plans import gold_oracle, model_oracle
 
-    return q | model_oracle.oracle_sql()
+    return q | model_oracle.oracle_sql() | gold_oracle.oracle_sql()

@@ -17,6 +17,13 @@ def spark(tmp_path_factory):
         extra={
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # One JVM serves the whole suite: a heap beyond Spark's default of
+            # 1 GB (set before it starts), and few plans of finished queries.
+            "spark.driver.memory": "4g",
+            "spark.sql.ui.retainedExecutions": "5",
+            "spark.ui.retainedJobs": "20",
+            "spark.ui.retainedStages": "20",
+            "spark.ui.retainedTasks": "1000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
