@@ -4,9 +4,11 @@ Records are ordered by ``page_id`` and cut into shards of ``shard_bytes`` payloa
 bytes; both depend on the rows alone, not on the cluster.  A task writes the
 records of a shard in order, one gzip member each, and rolls to the next file
 when ``roll_bytes`` of compressed data are reached.  Files are written under a
-temporary name, renamed when complete, and listed in a manifest that Spark
-commits last; readers take only what the manifest lists.  A task that runs again
-makes the same bytes under the same names.
+temporary name, renamed when complete, and listed in a manifest beside them that
+Spark commits last.  A task that runs again makes the same bytes under the same
+names.  Readers take only what the manifest lists, and all of it: an archive
+without a committed manifest, or with a listed file that is missing or differs in
+bytes, digest or number of records, is an error.
 
 Headers are made anew: record ids from page_id and payload, block and payload
 digests (base32 SHA-1) from the bytes.  Of records with equal payloads of at
@@ -173,13 +175,28 @@ def parsed(data: bytes) -> tuple:
     return number(fields["X-Page-ID"]), length, digest, fields["WARC-Type"], number(fields.get("X-Refers-To-Page-ID", "")), fields["WARC-Target-URI"], payload
 
 
+class IncompleteArchive(RuntimeError):
+    """No committed manifest, or files that are not as it lists them."""
+
+
+_READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+_ROWS = f"{_READ}, name string, records long, bytes long, sha256 string"
+
+
 def read_batches(batches):
+    """The records of each file (name, content), and one row more for the file
+    itself with what the manifest should say."""
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "name", "records", "bytes", "sha256"]
     for b in batches:
-        for content in b.column(0):
-            rows = [parsed(m)[:5] for m in members(content.as_py())]
-            cols = list(zip(*rows)) if rows else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+        for name, content in zip(b.column(0), b.column(1)):
+            data = content.as_py()
+            try:
+                rows = [(*parsed(m)[:5], name.as_py(), None, None, None) for m in members(data)]
+            except (ValueError, KeyError, StopIteration, zlib.error):
+                rows = []  # what is damaged does not match its manifest
+            rows.append((None, None, None, None, None, name.as_py(), len(rows), len(data), hashlib.sha256(data).hexdigest()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
 def _at_or_below(bounds: list[int], x):
@@ -221,20 +238,38 @@ def write(pages: DataFrame, out: str, min_bytes: int = 0, shard_bytes: int = SHA
              .select("page_id", F.lit(0).alias("tag"), "sha", F.col("response").alias("refers_to"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html")))
     told = about.unionByName(rows.select("page_id", F.lit(1).alias("tag"), F.lit(None).cast("string").alias("sha"), F.lit(None).cast("long").alias("refers_to"), "url", "html"))
     shard = _at_or_below(bounds, F.coalesce("page_id", lowest)).cast("long") if bounds else F.lit(0).cast("long")
-    dealt = (told.withColumn("shard", shard).repartition(max(1, min(len(bounds), MAX_SHARDS)), "shard")
+    dealt = (told.withColumn("shard", shard).repartitionById(max(1, len(bounds)), F.greatest(F.col("shard") - 1, F.lit(0)).cast("int"))
              .sortWithinPartitions("shard", "page_id", "tag", F.sha1("html"), "url").select("shard", "page_id", "tag", "sha", "refers_to", "url", "html"))
-    return stage(map_arrow(dealt, "snapstar.llm.warc:write_batches", _MANIFEST, base=out, roll=roll_bytes), "warc-manifest")
+    map_arrow(dealt, "snapstar.llm.warc:write_batches", _MANIFEST, base=out, roll=roll_bytes).write.parquet(f"{out}/manifest")
+    return manifest(spark, out)
+
+
+def manifest(spark, out: str) -> DataFrame:
+    """The committed manifest of the archive under ``out``."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/manifest/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        raise IncompleteArchive(f"{out} has no committed manifest")
+    return spark.read.schema(_MANIFEST).parquet(f"{out}/manifest")
 
 
 def read(manifest: DataFrame, out: str) -> DataFrame:
-    """The records of the files that the manifest lists."""
+    """The records of the files that the manifest lists, each checked against it.
+
+    Files are read where they lie; only their rows, without payloads, and one row
+    for each file are compared with the manifest."""
     spark = manifest.sparkSession
-    if not manifest.limit(1).count():
-        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.warc.gz").load(out)
-             .withColumn("name", F.element_at(F.split("path", "/"), -1)).join(F.broadcast(manifest.select("name")), "name", "left_semi"))
-    return map_arrow(files.select("content"), "snapstar.llm.warc:read_batches",
-                     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.warc.gz").load(out)
+    rows = stage(map_arrow(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), "snapstar.llm.warc:read_batches", _ROWS), "warc-rows")
+    found = rows.where("sha256 IS NOT NULL").select("name", "records", "bytes", "sha256")
+    listed = manifest.select("name", "records", "bytes", "sha256")
+    odd = listed.join(found, ["name", "records", "bytes", "sha256"], "left_anti")
+    if (names := [r["name"] for r in odd.select("name").orderBy("name").limit(5).collect()]):
+        raise IncompleteArchive(f"{odd.count()} listed files of {out} are missing or altered: {', '.join(names)}, ...")
+    records = rows.where("sha256 IS NULL")
+    # Files that no manifest lists are left from writers that died.
+    if found.join(listed, "name", "left_anti").limit(1).count():
+        records = records.join(listed.select("name"), "name", "left_semi")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def archive_folder(spark, name: str = "warc") -> str:

@@ -1,6 +1,7 @@
 """Sharding, exact dedup and WARC archives against brute force."""
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -167,3 +168,31 @@ def test_driver_pages(spark):
     rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
     out = warc.archive_folder(spark)
     assert read_back(warc.read(warc.write(pages, out), out)) == expected(rows, 0)
+
+
+@pytest.mark.parametrize("harm", ["removed", "cut", "altered", "record lost", "manifest lost"])
+def test_archives_that_are_not_whole_are_told(spark, tmp_path, harm):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"<p>{i % 5} " + "x" * (i % 50) + "</p>") for i in range(60)], PAGES)
+    out = f"file://{tmp_path}/archive"
+    manifest = warc.write(pages, out, 0, shard_bytes=300, roll_bytes=700)
+    assert warc.read(warc.manifest(spark, out), out).count() == 60
+    files = sorted((tmp_path / "archive").glob("shard-*.warc.gz"))
+    assert len(files) > 5
+    (tmp_path / "archive" / "shard-999999-00000.warc.gz").write_bytes(files[0].read_bytes())  # not listed
+    assert warc.read(manifest, out).count() == 60
+    data = files[3].read_bytes()
+    if harm == "removed":
+        files[3].unlink()
+    elif harm == "cut":
+        files[3].write_bytes(data[:-9])
+    elif harm == "altered":
+        files[3].write_bytes(data[:40] + bytes([data[40] ^ 1]) + data[41:])
+    elif harm == "record lost":
+        files[3].write_bytes(b"".join(gzip.compress(m) for m in list(warc.members(data))[1:]))
+    else:
+        (tmp_path / "archive" / "manifest" / "_SUCCESS").unlink()
+        with pytest.raises(warc.IncompleteArchive, match="no committed manifest"):
+            warc.manifest(spark, out)
+        return
+    with pytest.raises(warc.IncompleteArchive, match=files[3].name):
+        warc.read(manifest, out)
