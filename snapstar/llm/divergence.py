@@ -2,14 +2,17 @@
 
 Each document is compared with references of its language: the histogram of its
 character classes and the histogram of the language's common words (with one
-class for all other words).  A reference is the mean histogram of all documents
-of the language that are long enough to be judged.  The distance is the
-Jensen-Shannon distance to base 2 (0 to 1).  Texts shorter than the guards are
-not judged by it, since a histogram of a few words says little; the base rules
-(too few words, too many repeated 8-word windows) hold for every text.
+class for all other words).  A reference is the mean histogram of the documents
+of the language that a labelled table calls good (quality 1) and that are long
+enough to be judged; junk, however common, is in no reference.  The distance is
+the Jensen-Shannon distance to base 2 (0 to 1).  Texts shorter than the guards
+are not judged by it, since a histogram of a few words says little; the base
+rules (too few words, too many repeated 8-word windows) hold for every text.
+Where no document is known to be good, no text long enough to be judged is kept.
 
 Only DataFrame and SQL functions are used, all within the row except for the
-means by language, which are summed map-side.
+means by language, which are summed map-side, and a semi-join with the labelled
+ids on narrow rows.
 
 Rows: null text has no words (and so fails the base rules); an unknown or null
 language is judged by its character classes against the mean of all languages;
@@ -102,16 +105,21 @@ def histograms(docs: DataFrame) -> DataFrame:
             .withColumn("p_chars", F.expr(share("classes"))).withColumn("p_words", F.expr(share("common"))).drop("classes", "common"))
 
 
-def references(rows: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
-    """Mean histograms by known language, and of all under the empty name: one
-    row for each entry of ``COMMON_WORDS`` and one more at most."""
-    long_enough = rows.where((F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words))
+def references(rows: DataFrame, labels: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
+    """Mean histograms of the good documents by known language, and of all under
+    the empty name: one row for each entry of ``COMMON_WORDS`` and one more at most.
+
+    ``labels``: (doc_id, quality); an id that is called both good and poor is poor."""
+    good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
+    long_enough = rows.select("doc_id", "lang", "n_chars", "n_words", "p_chars", "p_words").join(good, "doc_id", "left_semi").where((F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words))
     known = F.when(F.col("lang").isin(list(COMMON_WORDS)), F.col("lang")).otherwise("")
     mean = lambda c, n: F.array(*[F.avg(F.col(c)[k]) for k in range(n)])
     by_lang = long_enough.groupBy(known.alias("ref")).agg(mean("p_chars", 8).alias("q_chars"), mean("p_words", N_COMMON + 1).alias("q_words"), F.count("*").alias("weight"))
-    every = by_lang.where("ref <> ''").groupBy().agg(F.array(*[F.sum(F.col("q_chars")[k] * F.col("weight")) / F.sum("weight") for k in range(8)]).alias("q_chars"))
-    return by_lang.where("ref <> ''").select("ref", "q_chars", "q_words").unionByName(
-        every.select(F.lit("").alias("ref"), "q_chars", F.lit(None).cast("array<double>").alias("q_words")))
+    known_lang = by_lang.where("ref <> ''")
+    every = known_lang.agg(F.when(F.count("*") > 0, F.array(*[F.sum(F.col("q_chars")[k] * F.col("weight")) / F.sum("weight") for k in range(8)])).alias("q_chars"))
+    codes = rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in [*COMMON_WORDS, ""]])).alias("ref"))
+    # A language without good documents is judged by the characters of all others.
+    return codes.join(known_lang, "ref", "left").select("ref", F.coalesce("q_chars", every.scalar()).alias("q_chars"), "q_words")
 
 
 def distance(p: str, q: str) -> Column:
@@ -120,16 +128,18 @@ def distance(p: str, q: str) -> Column:
     return F.expr(f"sqrt(greatest(0D, aggregate(zip_with({p}, {q}, (a, b) -> ({term.format('a')} + {term.format('b')}) / 2), 0D, (t, x) -> t + x)))")
 
 
-def judge(docs: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, max_chars: float = MAX_CHAR_DISTANCE, max_words: float = MAX_WORD_DISTANCE) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, max_chars: float = MAX_CHAR_DISTANCE, max_words: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Base figures, distances (null where a guard or a missing reference keeps
     the text from being judged) and the verdict of every document."""
     rows = stage(histograms(docs), "histograms")
-    ref = F.broadcast(references(rows, min_chars, min_words))
+    ref = F.broadcast(references(rows, labels, min_chars, min_words))
     known = F.when(F.col("lang").isin(list(COMMON_WORDS)), F.col("lang")).otherwise("")
     found = rows.withColumn("ref", known).join(ref, "ref", "left")
     found = (found.withColumn("char_distance", F.when(F.col("n_chars") >= min_chars, distance("p_chars", "q_chars")))
              .withColumn("word_distance", F.when((F.col("n_words") >= min_words), distance("p_words", "q_words")))
              .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))))
-    far = F.coalesce(F.col("char_distance") > max_chars, F.lit(False)) | F.coalesce(F.col("word_distance") > max_words, F.lit(False))
+    # Long enough to be judged, and nothing to judge by.
+    unknown = (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words) & F.col("q_chars").isNull()
+    far = F.coalesce(F.col("char_distance") > max_chars, F.lit(False)) | F.coalesce(F.col("word_distance") > max_words, F.lit(False)) | unknown
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance")

@@ -79,19 +79,20 @@ def deduplicate(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_
 
 def keep_first(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = stage(_looked_up(docs, capacity, max_depth), "dedup-decisions")
-    key = ["doc_id", "_raw"]
+    raw = "_".join(["raw", *docs.columns])  # a name that no column of docs has
+    found = stage(_looked_up(docs, capacity, max_depth), "dedup-decisions").withColumnRenamed("_raw", raw)
+    key = ["doc_id", raw]
     stay, go = found.where("kept").select(key), found.where("NOT kept").select(key).distinct()
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_raw"] == b["_raw"])
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a[raw] == b[raw])
     go = go.join(stay, same(go, stay), "left_anti")
-    marked = docs.withColumn("_raw", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    marked = docs.withColumn(raw, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     left = marked.join(go, same(marked, go), "left_anti")
     # Rows that repeat both doc_id and text are told apart by nothing; one stays.
     again = found.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
     if again.limit(1).count():
         left = left.join(again, same(left, again), "left_anti").unionByName(
             left.join(again, same(left, again), "left_semi").dropDuplicates(key))
-    return left.drop("_raw")
+    return left.drop(raw)
 
 
 def _looked_up(docs: DataFrame, capacity: int, max_depth: int) -> DataFrame:
@@ -106,7 +107,7 @@ def _looked_up(docs: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     shared = index.where("group_size > 1")
     again = texts.withColumn("h", F.xxhash64("t")).join(shared.select("h", "keep_id", "sha"), "h")
     again = stage(again.where(F.unhex(F.sha2("t", 256)) == F.col("sha")), "hash-copies")
-    heads = again.where(F.col("doc_id") == F.col("keep_id")).groupBy("h", "sha").agg(F.min("t").alias("head"))
+    heads = again.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("h", "sha").agg(F.min("t").alias("head"))
     unequal = (again.join(heads, ["h", "sha"]).where(F.col("t") != F.col("head"))
                .groupBy("h", "sha", "t").agg(F.min("doc_id").alias("keep2"), F.count("*").alias("size2")))
     # Entries whose texts differ although both hashes agree are split by their
@@ -115,7 +116,7 @@ def _looked_up(docs: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     if odd.limit(1).count():
         found = _split(found, texts, odd)
 
-    first = F.coalesce(F.col("keep_id"), F.lit(-1)) == F.coalesce(F.col("doc_id"), F.lit(-1))
+    first = F.col("keep_id").eqNullSafe(F.col("doc_id"))
     # One row stays when a doc_id is repeated: the first of the rows that tie.
     ties = (rows.join(shared.select("h", "sha", "keep_id"), ["h", "sha"]).where(first)
             .groupBy("h", "sha").agg(F.min("row").alias("stays"), F.count("*").alias("n")).where("n > 1"))

@@ -49,7 +49,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(table(spark, sf_dir, "documents"))
+    return divergence.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,10 +31,14 @@ def base_of(r):
     return (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"])
 
 
+def good_labels(spark, ids):
+    return spark.createDataFrame([(i, 1, 0) for i in ids], "doc_id long, quality int, toxic int")
+
+
 def test_base_figures_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    got = rows_of(divergence.judge(docs))
+    got = rows_of(divergence.judge(docs, spark.read.parquet(f"{SF}/labels.parquet")))
     assert len(got) == len(texts)
     assert {r["doc_id"]: base_of(r) for r in got} == {i: base_figures(t) for i, t in texts.items()}
     assert not any(r["kept"] for r in got if r["base_failed"])
@@ -42,9 +46,9 @@ def test_base_figures_against_brute_force(spark):
 
 def test_odd_rows_of_rules(spark, odd_texts):
     more = odd_texts + [(20, "a b c d e f g h " * 12), (21, "x\n\n x\nx\nx \n| # | #\n| # | #"), (22, "w " * 8 + "v"), (23, "a b c d e f g h z a b c d e f g h")]
-    got = rows_of(divergence.judge(make_docs(spark, more, lang=None)))
+    got = rows_of(divergence.judge(make_docs(spark, more, lang=None), good_labels(spark, [3, 20])))
     assert sorted(((r["doc_id"], *base_of(r)) for r in got), key=str) == sorted(((i, *base_figures(t)) for i, t in more), key=str)
-    assert rows_of(divergence.judge(make_docs(spark, []))) == []
+    assert rows_of(divergence.judge(make_docs(spark, []), good_labels(spark, []))) == []
 
 
 def test_distance_is_jensen_shannon(spark):
@@ -59,8 +63,59 @@ def test_junk_goes_and_prose_stays(spark):
     rng = random.Random(3)
     prose = lambda: " ".join(rng.choice(["the", "of", "and", "house", "river", "to", "walked", "in", "a", "window", "is", "that"]) for _ in range(150)) + "."
     rows = [(i, prose().capitalize()) for i in range(60)] + [(100, " ".join("#%$&*" * 2 for _ in range(100))), (101, " ".join(str(rng.random()) for _ in range(100)))]
-    kept = {r["doc_id"] for r in rows_of(divergence.judge(make_docs(spark, rows))) if r["kept"]}
-    assert kept == set(range(60))
+    kept = lambda rows, good: {r["doc_id"] for r in rows_of(divergence.judge(make_docs(spark, rows), good_labels(spark, good))) if r["kept"]}
+    assert kept(rows, range(20)) == set(range(60))
+    # Junk in the majority, and junk alone, with and without labels for it.
+    junk = [(1000 + i, " ".join("#%$&*" * 2 for _ in range(100 + i))) for i in range(200)]
+    assert kept(rows + junk, range(20)) == set(range(60))
+    assert kept(junk, []) == set() and kept([(i, t) for i, t in junk] + [(1, "a short text")], []) == set()
+
+
+def plain_verdict(docs, good):
+    """Reference means, distances and verdicts of (doc_id, lang, text), one by one."""
+    import regex
+
+    marks, figures = set(".,;:!?'\"()[]-"), {}
+    for i, lang, text in docs:
+        text = text or ""
+        kinds = [0] * 8
+        for c in text:
+            k = (0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 if c in " \t\n\x0b\x0c\r" else 4 if c in marks
+                 else 5 if c in "#*$%&|<>" else 6 if ord(c) > 127 else 7)
+            kinds[k] += 1
+        n, seen = len(words(text)), regex.findall(r"\p{L}+", text.lower())
+        common = divergence.COMMON_WORDS.get(lang)
+        counts = [seen.count(w) for w in common] if common else None
+        counts = counts and counts + [max(0, n - sum(counts))]
+        share = lambda x: x and [v / max(1, sum(x)) for v in x]
+        figures[i] = (lang if common else "", len(text), n, share(kinds), share(counts))
+    mean = lambda rows: [sum(r[k] for r in rows) / len(rows) for k in range(len(rows[0]))]
+    long = {i: f for i, f in figures.items() if f[1] >= divergence.MIN_CHARS and f[2] >= divergence.MIN_WORDS}
+    of = {code: [f for i, f in long.items() if i in good and f[0] == code] for code in divergence.COMMON_WORDS}
+    every = mean([f[3] for code in of for f in of[code]])
+
+    def distance(p, q):
+        return math.sqrt(max(0, sum(((a * math.log2(2 * a / (a + b)) if a else 0) + (b * math.log2(2 * b / (a + b)) if b else 0)) / 2 for a, b in zip(p, q))))
+
+    out = {}
+    for i, (lang, chars, n, p, w) in figures.items():
+        rows = of.get(lang) or []
+        far_c = distance(p, mean([f[3] for f in rows]) if rows else every) if chars >= divergence.MIN_CHARS else 0
+        far_w = distance(w, mean([f[4] for f in rows])) if rows and n >= divergence.MIN_WORDS else 0
+        out[i] = (far_c, far_w)
+    return out
+
+
+def test_verdicts_against_a_plain_version(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
+    want = plain_verdict([(r["doc_id"], r["lang"], r["text"]) for r in docs.collect()], good)
+    got = rows_of(divergence.judge(docs, labels))
+    for r in got:
+        c, w = want[r["doc_id"]]
+        assert (r["char_distance"] or 0) == pytest.approx(c, abs=1e-6) and (r["word_distance"] or 0) == pytest.approx(w, abs=1e-6), r
+        assert r["kept"] == (not r["base_failed"] and c <= divergence.MAX_CHAR_DISTANCE and w <= divergence.MAX_WORD_DISTANCE)
+    assert 0 < sum(r["kept"] for r in got) < len(got)
 
 
 # --- licences -------------------------------------------------------------------
