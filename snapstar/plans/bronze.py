@@ -17,9 +17,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapstar.functions import json as JS
 from snapstar.operators import quality as Q
 from snapstar.plans import dims as D
 from snapstar.plans import transit as TR
@@ -68,9 +69,10 @@ def outcomes(judged: DataFrame, requests: DataFrame) -> DataFrame:
     return out.withColumn("outcome", F.when(F.col("good") > 0, "succeeded").when(F.col("responses") > 0, "failed").otherwise("unanswered"))
 
 
-def judge(responses: DataFrame, contract: list[Q.Rule]) -> DataFrame:
-    """The responses with the names of the rules that each breaks, computed once."""
-    return stage(Q.with_failures(responses, contract), "judged-responses")
+def judge(responses: DataFrame, contract: Callable[[Column], list[Q.Rule]]) -> DataFrame:
+    """The responses with the names of the rules that each breaks; each payload is
+    parsed once, for all rules."""
+    return stage(Q.with_failures(JS.with_body(responses), contract(F.col(JS.BODY))).drop(JS.BODY), "judged-responses")
 
 
 def publish(spark: SparkSession, dataset: str, judged: DataFrame, bronze: str, quarantine: str, requests: DataFrame | None = None,
@@ -95,9 +97,9 @@ def publish(spark: SparkSession, dataset: str, judged: DataFrame, bronze: str, q
                        unanswered, version, tuple(failures[:NAMED]))
 
 
-def _stage(dataset: str, contract: Callable[[], list[Q.Rule]]):
+def _stage(dataset: str, contract: Callable[[Column], list[Q.Rule]]):
     def run(spark: SparkSession, responses: DataFrame, base: str, requests: DataFrame | None = None, strict: bool = True, partition_by: Sequence[str] = DAY) -> Publication:
-        done = publish(spark, dataset, judge(responses, contract()), f"{base}/{dataset}", f"{base}/{dataset}_quarantine", requests, partition_by)
+        done = publish(spark, dataset, judge(responses, contract), f"{base}/{dataset}", f"{base}/{dataset}_quarantine", requests, partition_by)
         return done.gate() if strict else done
 
     run.__name__ = run.__qualname__ = f"bronze_{dataset}"

@@ -172,15 +172,15 @@ def explode_outer_children(spark, sf):
 
 
 def payload_contract(spark, sf):
-    ev = _t(spark, sf, "events")
-    kind = J.root_kind("props")
-    with_k = J.has_keys("props", ["k"])
-    valid = (kind == "object") & with_k & _k().isNotNull()
-    return ev.groupBy("event_type").agg(
+    ev = J.with_body(_t(spark, sf, "events").select("event_type", "props"), "props")
+    # One look at each payload: keyed objects, and the value of the key.
+    seen = ev.select("event_type", J.is_object(J.BODY).alias("object"), J.holds(J.BODY, ["k"]).alias("with_k"),
+                     F.try_variant_get(J.BODY, "$.k", "int").isNotNull().alias("number"))
+    return seen.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("payloads"),
-        F.count_if(kind == "object").alias("object_roots"),
-        F.count_if(with_k).alias("with_k"),
-        F.count_if(valid).alias("valid_payloads"),
+        F.count_if("object").alias("object_roots"),
+        F.count_if("with_k").alias("with_k"),
+        F.count_if(F.col("object") & F.col("with_k") & F.col("number")).alias("valid_payloads"),
     )
 
 

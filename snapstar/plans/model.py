@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapstar.functions import json as JS
 from snapstar.operators import quality as Q
 from snapstar.operators.asof import as_of_join
 from snapstar.operators.scd2 import version_history, versions_from_snapshots
@@ -179,12 +180,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def model_contracts(spark, sf):
     """Rows, invalid rows and failures of each rule of the five contracts."""
+    body = F.col(JS.BODY)
     return _union([
-        _counts("line_status", line_status_bronze(spark, sf), TR.line_status_contract()),
-        _counts("stop_points", stop_points_bronze(spark, sf), TR.stop_points_contract()),
-        _counts("arrivals", arrivals_bronze(spark, sf), TR.arrivals_contract()),
-        _counts("weather", weather_bronze(spark, sf), TR.weather_contract()),
-        _counts("holidays", holidays_bronze(spark, sf), TR.holidays_contract()),
+        _counts("line_status", JS.with_body(line_status_bronze(spark, sf)), TR.line_status_contract(body)),
+        _counts("stop_points", JS.with_body(stop_points_bronze(spark, sf)), TR.stop_points_contract(body)),
+        _counts("arrivals", JS.with_body(arrivals_bronze(spark, sf)), TR.arrivals_contract(body)),
+        _counts("weather", JS.with_body(weather_bronze(spark, sf)), TR.weather_contract(body)),
+        _counts("holidays", JS.with_body(holidays_bronze(spark, sf)), TR.holidays_contract(body)),
     ])
 
 
@@ -214,7 +216,7 @@ def bronze_publication(spark, sf):
 def bronze_station_outcomes(spark, sf):
     """What became of the arrivals request of each station (customer)."""
     requests = _t(spark, sf, "customer").select(F.concat(F.lit("/StopPoint/ST"), F.col("c_custkey").cast("string"), F.lit("/Arrivals")).alias("source_endpoint"), "c_custkey")
-    judged = B.judge(arrivals_bronze(spark, sf), TR.arrivals_contract())
+    judged = B.judge(arrivals_bronze(spark, sf), TR.arrivals_contract)
     return B.outcomes(judged, requests).select(F.col("c_custkey").alias("station"), "responses", "good", "outcome")
 
 

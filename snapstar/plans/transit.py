@@ -7,7 +7,7 @@ names follow the silver/gold layouts in ``FIXTURES.md``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapstar.functions import json as J
@@ -55,40 +55,42 @@ def _http_ok() -> Q.Rule:
     return Q.Rule("http_status_200", F.col("http_status") == 200)
 
 
-def line_status_contract() -> list[Q.Rule]:
+def _body(body: Column | None) -> Column:
+    """The parsed payload: a column that holds it, or parsed here."""
+    return F.try_parse_json("payload") if body is None else body
+
+
+def line_status_contract(body: Column | None = None) -> list[Q.Rule]:
     """Non-empty array; every element carries the line fields."""
-    return [_http_ok(), Q.Rule("line_array_with_fields", J.array_contract("payload", LINE_STATUS_FIELDS))]
+    return [_http_ok(), Q.Rule("line_array_with_fields", J.array_of(_body(body), LINE_STATUS_FIELDS))]
 
 
-def stop_points_contract() -> list[Q.Rule]:
+def stop_points_contract(body: Column | None = None) -> list[Q.Rule]:
     """Object root holding a non-empty ``stopPoints`` array."""
-    sp = F.get_json_object("payload", "$.stopPoints")
     return [_http_ok(),
-            Q.Rule("object_root", J.root_kind("payload") == "object"),
-            Q.Rule("stop_points_non_empty", F.json_array_length(sp) > 0)]
+            Q.Rule("object_root", J.is_object(_body(body))),
+            Q.Rule("stop_points_non_empty", F.size(J.elements(_body(body), "$.stopPoints")) > 0)]
 
 
-def arrivals_contract() -> list[Q.Rule]:
+def arrivals_contract(body: Column | None = None) -> list[Q.Rule]:
     """Array root; an empty list is a valid answer."""
-    return [_http_ok(), Q.Rule("array_root", F.json_array_length("payload").isNotNull())]
+    return [_http_ok(), Q.Rule("array_root", J.elements(_body(body)).isNotNull())]
 
 
-def weather_contract() -> list[Q.Rule]:
+def weather_contract(body: Column | None = None) -> list[Q.Rule]:
     """Object root with the top-level fields; ``current`` an object holding
     a time and every requested variable."""
-    cur = F.get_json_object("payload", "$.current")
     return [_http_ok(),
-            Q.Rule("weather_fields", J.has_keys("payload", WEATHER_FIELDS)),
-            Q.Rule("current_variables", J.has_keys(cur, WEATHER_CURRENT))]
+            Q.Rule("weather_fields", J.holds(_body(body), WEATHER_FIELDS)),
+            Q.Rule("current_variables", J.holds(_body(body), WEATHER_CURRENT, "$.current"))]
 
 
-def holidays_contract(region: str = HOLIDAY_REGION) -> list[Q.Rule]:
+def holidays_contract(body: Column | None = None, region: str = HOLIDAY_REGION) -> list[Q.Rule]:
     """Region object present with a non-empty ``events`` array whose every
     event has a title and a date."""
-    events = F.get_json_object("payload", f"$['{region}'].events")
     return [_http_ok(),
-            Q.Rule("region_present", J.has_keys("payload", [region])),
-            Q.Rule("events_with_fields", J.array_contract(events, HOLIDAY_EVENT_FIELDS))]
+            Q.Rule("region_present", J.holds(_body(body), [region])),
+            Q.Rule("events_with_fields", J.array_of(_body(body), HOLIDAY_EVENT_FIELDS, f"$['{region}'].events"))]
 
 
 def line_status_rules() -> list[Q.Rule]:

@@ -90,3 +90,38 @@ def test_station_names_must_resolve(spark):
     for bad in ("Beta", "Gamma"):
         with pytest.raises(ValueError, match=bad):
             B.arrival_requests(named("Alpha", bad), points)
+
+
+def test_contracts_over_parsed_payloads(spark):
+    """The rules say of a parsed payload what they say of its text, and what a plain
+    parse says."""
+    from pyspark.sql import functions as F
+
+    from snapstar.functions import json as JS
+    from snapstar.operators import quality as Q
+    from snapstar.plans import transit as TR
+
+    line = {k: None for k in TR.LINE_STATUS_FIELDS}
+    payloads = [json.dumps(x) for x in (
+        [line], [line, {"id": 1}], [], [{}], [1], [None], {"a": [line]}, None, "text", 3, {"stopPoints": [1]}, {"stopPoints": []}, {"stopPoints": None}, {"stopPoints": {"a": 1}},
+        {**dict.fromkeys(TR.WEATHER_FIELDS), "current": dict.fromkeys(TR.WEATHER_CURRENT)}, {**dict.fromkeys(TR.WEATHER_FIELDS), "current": {"time": "x"}},
+        dict.fromkeys(TR.WEATHER_FIELDS), {TR.HOLIDAY_REGION: {"events": [{"title": "a", "date": "b"}]}}, {TR.HOLIDAY_REGION: {"events": [{"title": "a"}]}},
+        {TR.HOLIDAY_REGION: {"events": []}}, {TR.HOLIDAY_REGION: None}, {"wales": {"events": [{"title": "a", "date": "b"}]}})] + ["{oops", ""]
+
+    def plain(text):
+        try:
+            x = json.loads(text)
+        except ValueError:
+            x = None
+        has = lambda o, keys: isinstance(o, dict) and set(keys) <= set(o)
+        every = lambda rows, keys: isinstance(rows, list) and bool(rows) and all(has(r, keys) for r in rows)
+        get = lambda o, k: o.get(k) if isinstance(o, dict) else None
+        return {"line_status": every(x, TR.LINE_STATUS_FIELDS), "stop_points": isinstance(get(x, "stopPoints"), list) and bool(x["stopPoints"]), "arrivals": isinstance(x, list),
+                "weather": has(x, TR.WEATHER_FIELDS) and has(x["current"], TR.WEATHER_CURRENT), "holidays": every(get(get(x, TR.HOLIDAY_REGION), "events"), TR.HOLIDAY_EVENT_FIELDS)}
+
+    batch = responses(spark, [(f"r{k:02d}", "/x", AT, 200, p) for k, p in enumerate(payloads)])
+    for name in ("line_status", "stop_points", "arrivals", "weather", "holidays"):
+        contract = getattr(TR, f"{name}_contract")
+        want = [f"r{k:02d}" for k, p in enumerate(payloads) if plain(p)[name]]
+        kept = lambda df, rules: sorted(r["request_id"] for r in Q.split(df, rules)[0].collect())
+        assert kept(JS.with_body(batch), contract(F.col("body"))) == kept(batch, contract()) == want and want, name
