@@ -161,14 +161,6 @@ def present(name: str, found: bool, spark) -> DataFrame:
     return spark.range(1).select(F.lit(name).alias("check_name"), F.lit(int(found)).cast("bigint").alias("actual_value"), F.lit(1).cast("bigint").alias("expected_value"))
 
 
-def outside_interval(name: str, df: DataFrame, ts: str, from_col: str = "effective_from",
-                     to_col: str = "effective_to") -> DataFrame:
-    """Temporal-join audit: facts whose time lies outside the interval of
-    the version they were joined to (expected 0)."""
-    bad = (F.col(ts) < F.col(from_col)) | (F.col(to_col).isNotNull() & (F.col(ts) >= F.col(to_col)))
-    return _one(name, df.agg(F.count_if(bad).alias("actual")))
-
-
 def mismatched(name: str, df: DataFrame, left, right) -> DataFrame:
     """Rows where two derivations of a value disagree (null-safe), e.g. a
     stored local date key against one recomputed from the timestamp."""

@@ -61,11 +61,6 @@ def rows_at_latest(df: DataFrame, ts: str) -> DataFrame:
     return df.filter(F.col(ts) == latest)
 
 
-def latest_value(df: DataFrame, ts: str) -> Column:
-    """Scalar-subquery column holding ``max(ts)`` over ``df``."""
-    return df.select(F.max(ts)).scalar()
-
-
 def rows_at_latest_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Rows at each key's newest ``ts`` (ties kept).
 
@@ -76,9 +71,3 @@ def rows_at_latest_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataF
     keys = list(keys)
     latest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
     return df.join(latest, on=[*keys, ts], how="left_semi")
-
-
-def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """``dropDuplicates`` (any survivor).  Use :func:`latest_per_key` when the
-    survivor matters."""
-    return df.dropDuplicates(list(keys)) if keys else df.distinct()

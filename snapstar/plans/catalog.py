@@ -756,12 +756,8 @@ def cond_distinct(spark, sf):
 
 def weighted_avg(spark, sf):
     li = _t(spark, sf, "lineitem")
-    w = F.col("l_quantity")
-    ok = w.isNotNull() & (w > 0) & F.col("l_discount").isNotNull()
-    num = F.sum(F.when(ok, F.col("l_discount") * w))
-    den = F.sum(F.when(ok, w))
     return li.groupBy("l_suppkey").agg(
-        S.round_half_up(num / F.nullif(den, F.lit(0.0)), 6).alias("weighted_discount"),
+        S.round_half_up(R.weighted_average("l_discount", "l_quantity"), 6).alias("weighted_discount"),
         F.count(F.lit(1)).alias("lines"),
     )
 

@@ -17,11 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapstar.functions import json as JS
+from snapstar.functions.labels import first_sentence, remaining_sentences
 from snapstar.operators import quality as Q
 from snapstar.operators.asof import as_of_join
 from snapstar.operators.scd2 import version_history, versions_from_snapshots
 from snapstar.plans import bronze as B
 from snapstar.plans import transit as TR
+from snapstar.plans.contracts import register as register_contracts
 from snapstar.session import ensure_checkpoint_dir, stage
 from snapstar.sources import flatten as FL
 from snapstar.sources import versions as V
@@ -236,6 +238,30 @@ def table_history(spark, sf):
     return log.join(counted, "version")
 
 
+def read_contracts(spark, sf):
+    """The serving contracts called with and without their parameters: the lines to
+    choose from, all and at one station, and the summary of one station and line."""
+    li, od = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
+    station, line = (F.col("o_custkey") % 50).cast("string"), (F.col("l_suppkey") % 20).cast("string")
+    seen = li.join(od, li["l_orderkey"] == od["o_orderkey"]).where(F.col("l_linenumber") % 3 == 0)
+    summary = seen.groupBy(F.concat(F.lit("ST"), station).alias("station_id"), F.concat(F.lit("Station "), station).alias("station_name"),
+                           F.concat(F.lit("L"), line).alias("line_id"), F.concat(F.lit("Line "), line).alias("line_name")).agg(F.count("*").alias("arrival_observations"))
+    register_contracts(spark, station_arrival_summary=summary)
+    calls = ["line_options()", "line_options(for_station => 'ST7')", "station_options()", "station_summary(for_station => 'ST7')", "station_summary(for_line => 'L3', for_station => 'ST7')"]
+    parts = []
+    for call in calls:
+        got = spark.sql(f"SELECT * FROM {call}")
+        has = lambda c: F.col(c) if c in got.columns else F.lit(None).cast("bigint" if c == "arrival_observations" else "string")
+        parts.append(got.select(F.lit(call).alias("call"), *[has(c).alias(c) for c in ("station_id", "station_name", "line_id", "line_name", "arrival_observations")]))
+    return _union(parts)
+
+
+def reason_parts(spark, sf):
+    """First sentence of each document's text, and the number of its others."""
+    d = _t(spark, sf, "documents").select("doc_id", F.regexp_replace("text", r"[^A-Za-z0-9 .!?]+", " ").alias("t"))
+    return d.select("doc_id", first_sentence("t").alias("first"), F.size(remaining_sentences("t")).alias("others"))
+
+
 def _holes(df: DataFrame, key: str, columns: list[str], step: int) -> DataFrame:
     """Nulls planted in each column, at other rows for each."""
     return df.withColumns({c: F.when(F.col(key) % step != k + 1, F.col(c)) for k, c in enumerate(columns)})
@@ -293,4 +319,4 @@ def version_list(spark, sf):
 def queries() -> dict:
     return {f.__name__: f for f in (model_line_status, model_arrivals, model_stop_points, model_stop_lines, model_weather, model_holidays,
                                     model_contracts, model_rules, as_of_weekly, version_list,
-                                    bronze_publication, bronze_station_outcomes, table_history)}
+                                    bronze_publication, bronze_station_outcomes, table_history, read_contracts, reason_parts)}

@@ -143,10 +143,25 @@ HISTORY = """
     SELECT CAST(version AS BIGINT) AS version, operation, rows_written, rows_read AS total_rows, rows_read, CAST(key_sum AS BIGINT) AS key_sum, CAST(updated AS BIGINT) AS updated FROM v"""
 
 
+READ_CONTRACTS = """
+    WITH s AS (SELECT 'ST' || (o_custkey % 50) AS station_id, 'Station ' || (o_custkey % 50) AS station_name, 'L' || (l_suppkey % 20) AS line_id, 'Line ' || (l_suppkey % 20) AS line_name,
+                      count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber % 3 = 0 GROUP BY ALL)
+    SELECT DISTINCT 'line_options()' AS call, CAST(NULL AS VARCHAR) AS station_id, CAST(NULL AS VARCHAR) AS station_name, line_id, line_name, CAST(NULL AS BIGINT) AS arrival_observations FROM s
+    UNION ALL SELECT DISTINCT 'line_options(for_station => ''ST7'')', NULL, NULL, line_id, line_name, NULL FROM s WHERE station_id = 'ST7'
+    UNION ALL SELECT DISTINCT 'station_options()', station_id, station_name, NULL, NULL, NULL FROM s
+    UNION ALL SELECT 'station_summary(for_station => ''ST7'')', * FROM s WHERE station_id = 'ST7'
+    UNION ALL SELECT 'station_summary(for_line => ''L3'', for_station => ''ST7'')', * FROM s WHERE station_id = 'ST7' AND line_id = 'L3'"""
+
+REASON_PARTS = r"""
+    WITH d AS (SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9 .!?]+', ' ', 'g') AS t FROM documents),
+    p AS (SELECT doc_id, t, list_filter([trim(x) for x in string_split(regexp_replace(t, '([.!?]) +', '\1' || chr(1), 'g'), chr(1))], lambda x: x <> '') AS parts FROM d)
+    SELECT doc_id, parts[1] AS first, CAST(greatest(len(parts) - 1, 0) AS INTEGER) AS others FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "model_line_status": LINE_STATUS, "model_arrivals": ARRIVALS, "model_stop_points": STOP_POINTS, "model_stop_lines": STOP_LINES,
-        "model_weather": WEATHER, "model_holidays": HOLIDAYS, "model_contracts": _contracts(), "bronze_publication": _publication(), "bronze_station_outcomes": STATION_OUTCOMES, "table_history": HISTORY, "model_rules": _rules(),
+        "model_weather": WEATHER, "model_holidays": HOLIDAYS, "model_contracts": _contracts(), "bronze_publication": _publication(), "bronze_station_outcomes": STATION_OUTCOMES, "table_history": HISTORY, "read_contracts": READ_CONTRACTS, "reason_parts": REASON_PARTS, "model_rules": _rules(),
         "as_of_weekly": f"""WITH {SCD2_VERSIONS}
             SELECT f.event_id, f.user_id, f.ts, f.event_type, v.event_type AS version_event_type, v.effective_from, v.effective_to
             FROM events f JOIN v ON f.user_id = v.user_id AND f.ts >= v.effective_from AND (v.effective_to IS NULL OR f.ts < v.effective_to)""",

@@ -13,15 +13,6 @@ from pyspark.sql import functions as F
 from snapstar.plans.serving import round_half_up
 
 
-def select_where(df: DataFrame, **equals) -> DataFrame:
-    """Optional equality filters: ``None`` (the "all" choice) applies no
-    predicate for that column."""
-    for col, value in equals.items():
-        if value is not None:
-            df = df.filter(F.col(col) == F.lit(value))
-    return df
-
-
 def flagged_list(df: DataFrame, flag: str, order: Sequence[str]) -> DataFrame:
     """Rows with ``flag`` true, sorted (e.g. disrupted lines by name)."""
     return df.filter(F.col(flag)).orderBy(*order)

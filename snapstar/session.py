@@ -30,24 +30,6 @@ SESSION_DEFAULTS = {
 }
 
 
-def scale_conf(shuffle_bytes: float, target_partition_bytes: int = 128 * 1024**2,
-               min_partitions: int = 200) -> dict[str, str]:
-    """Shuffle sizing for a given data volume.
-
-    AQE coalesces small shuffle partitions after each stage but cannot split
-    large ones (except in skew joins), so the initial count must be sized
-    for the largest shuffle: about ``shuffle_bytes / 128 MB``.  For ~100 TB
-    of input and a largest shuffle of ~20 TB that is ~160k partitions; AQE
-    then merges the small ones of lighter stages.
-    """
-    n = max(min_partitions, int(shuffle_bytes // target_partition_bytes) + 1)
-    return {
-        "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-    }
-
-
 def get_session(
     master: str | None = None,
     app_name: str = "snapstar",
