@@ -535,6 +535,11 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(strftime(l.l_shipdate, '%d %b %Y, %H:%M'), 'No data') AS ship_text,
                    coalesce(strftime(l.l_shipdate, '%d %b %Y'), 'No data') AS ship_date_text
             FROM lineitem l LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey""",
+        "chk_planted_faults": suite(
+            [
+                ("utc_date_key_mismatch", f"SELECT count(*) FROM events WHERE CAST(strftime(ts, '%Y%m%d') AS INTEGER) IS DISTINCT FROM {ldk('ts')}", "0"),
+                ("latest_version_closed", "SELECT count(DISTINCT user_id) FROM events WHERE user_id % 7 = 0 AND ts IS NOT NULL", "0"),
+            ]),
         "chk_temporal": suite(
             [
                 ("as_of_rows_equal_facts", "SELECT count(*) FROM asof_rows", "SELECT count(*) FROM events WHERE ts IS NOT NULL"),
