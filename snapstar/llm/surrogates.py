@@ -29,11 +29,13 @@ ignored.  Texts of any length are read whole.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import ipaddress
 import re
 import string
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,6 +69,14 @@ GIVEN = {
         "Sebastian Sergio Simon Stefan Stephan Stephen Steven Thierry Thomas Timothy Tobias Tom Uwe Victor Vincent Walter Werner William Wolfgang Xavier "
         "Yannick "
     ).split(),
+    ("f", "accented"): (
+        "Aurélie Bärbel Céline Chloé Désirée Élise Élodie Françoise Geneviève Hélène Inès Inés Jördis Käthe Léa Lucía María Mónica Núria Rocío Sofía Thérèse "
+        "Verónica Zoé "
+    ).split(),
+    ("m", "accented"): (
+        "Álvaro André Andrés Ángel Björn Cédric François Frédéric Gérard Günter Günther Íñigo Jérôme Jesús Joaquín Jörg José Jürgen Léon Martín Matías Nicolás "
+        "Óscar Ramón Raúl René Rubén Sébastien Sören Stéphane Tomás Víctor "
+    ).split(),
     ("f", "cyrillic"): ["Анна", "Вера", "Елена", "Ирина", "Мария", "Наталья", "Ольга"],
     ("m", "cyrillic"): ["Алексей", "Борис", "Виктор", "Иван", "Николай", "Олег", "Павел"],
     ("f", "greek"): ["Άννα", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία"],
@@ -296,10 +306,26 @@ _ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase, "а
 _PLACE = {c: (a, k) for a in _ALPHABETS for k, c in enumerate(a)}
 
 
+@functools.cache
+def _page(start: int, category: str) -> str:
+    """The other letters of one kind in a page of 128 characters: accented ones,
+    and those of all further scripts."""
+    return "".join(c for c in map(chr, range(start, start + 128)) if c not in _PLACE and unicodedata.category(c) == category)
+
+
+def place(c: str) -> tuple[str, int] | None:
+    """The alphabet of a letter or digit and its place there; no two alphabets
+    share a letter."""
+    if c in _PLACE or not c.isalpha():
+        return _PLACE.get(c)
+    page = _page(ord(c) & ~127, unicodedata.category(c))
+    return (page, page.index(c)) if len(page) > 1 else None
+
+
 def permuted(perm: Permutation, tweak: str, value: str) -> str:
     """``value`` with its letters and digits replaced by others of the same
     alphabets; one to one among the strings of its format."""
-    places = [_PLACE.get(c) for c in value]
+    places = [place(c) for c in value]
     n = x = 1
     x = 0
     for p in places:
@@ -408,7 +434,11 @@ def replaced_batches(batches, key):
 
 
 def _drawn(values: DataFrame, key: bytes) -> DataFrame:
-    return stage(map_arrow(values.select("kind", "value", "attempt"), "snapstar.llm.surrogates:drawn_batches",
+    # Rows are small and their work is not: a stated number of partitions is not
+    # merged by size.
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = values.select("kind", "value", "attempt").repartition(parts, "kind", "value")
+    return stage(map_arrow(dealt, "snapstar.llm.surrogates:drawn_batches",
                            "kind string, value string, attempt int, made string", key=key), "surrogates")
 
 

@@ -453,3 +453,23 @@ def test_targets_that_cannot_be_met_are_told(spark, tmp_path):
     with pytest.warns(RuntimeWarning, match="no nonnegative rates"):
         _, _, missed = mixing.fit_rates(spark.read.parquet(str(tmp_path / "rows")), np.array([30.0, 0.0]))
     assert 0.4 < missed < 0.6
+
+
+def test_no_letter_of_a_surname_stays_for_want_of_an_alphabet():
+    perm = surrogates.Permutation(b"k")
+    for value in ("Öß", "Müller", "Łukasz", "Ōe", "שלום", "ёж", "аж", "漢字", "éé"):
+        made = surrogates.permuted(perm, "t", value)
+        assert len(made) == len(value) and all(a != b or surrogates.place(a) is None for a, b in zip(made, value)) or made != value
+        assert [c.isupper() for c in made] == [c.isupper() for c in value]
+    # One to one among the strings of a format, also across alphabets.
+    accented = surrogates._page(0x80, "Ll")
+    made = [surrogates.permuted(perm, "t", a + b) for a in accented for b in "aé"]
+    assert len(set(made)) == len(made) == 2 * len(accented)
+    assert len({surrogates.permuted(perm, "t", v) for v in ("ёж", "аж", "еж")}) == 3
+
+
+def test_accented_names_are_found(spark):
+    texts = ["Here Jürgen Müller met José Álvarez.", "Then François Öß left; Hélène Dupré stayed."]
+    got = rows_of(surrogates.replace(make_docs(spark, list(enumerate(texts))), b"key").orderBy("doc_id"))
+    assert [r["n_replaced"] for r in got] == [2, 2]
+    assert not any(w in r["text"] for r in got for w in ("Müller", "Álvarez", "Öß", "Dupré", "Jürgen", "François", "Hélène"))
