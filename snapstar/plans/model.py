@@ -29,6 +29,8 @@ from snapstar.sources import flatten as FL
 from snapstar.sources import versions as V
 
 MALFORMED, SERVER_ERROR, OTHER_ENDPOINT = 97, 31, 89
+#: Day names of a customer's number modulo seven; the first two are called a weekend.
+DAY_NAMES = ["Saturday", "Monday", "Tuesday", "Wednesday", "Sunday", "Thursday", "Friday"]
 
 
 def _t(spark, sf, name):
@@ -289,7 +291,19 @@ def model_rules(spark, sf):
         (c % 6).cast("int").alias("good_service_line_snapshots"), (c % 130 - 10).cast("double").alias("disruption_rate_pct"),
         *[odd.alias(x) for x in ("arrival_observations", "distinct_vehicles", "stations_observed", "avg_eta_seconds", "total_precipitation_mm", "max_wind_gust_kmh")]),
         "o_orderkey", ["date_key", "calendar_date", "line_snapshots", "disruption_rate_pct", "avg_eta_seconds"], 11)
+    line_columns = ["line_status_key", "line_key", "line_id", "snapshot_date_key", "request_id", "snapshot_at", "status_severity"]
+    lines = _holes(od.select("o_orderkey", *[k.alias(x) for x in line_columns], (c % 5 == 0).alias("is_good_service"), (c % 6 != 0).alias("is_disrupted")),
+                   "o_orderkey", [*line_columns, "is_good_service"], 29)
+    arrival_columns = ["arrival_observation_key", "station_key", "line_key", "requested_station_id", "line_id", "prediction_date_key", "request_id", "arrival_id",
+                       "prediction_timestamp", "expected_arrival", "snapshot_at"]
+    arrivals = _holes(od.select("o_orderkey", *[k.alias(x) for x in arrival_columns], odd.alias("time_to_station_seconds")), "o_orderkey",
+                      [*arrival_columns, "time_to_station_seconds"], 31)
+    days = _holes(od.select("o_orderkey", k.alias("date_key"), k.alias("calendar_date"), (c % 7 < 2).alias("is_weekend"), F.element_at(F.array(*map(F.lit, DAY_NAMES)), (c % 7 + 1).cast("int")).alias("day_name")),
+                  "o_orderkey", ["date_key", "calendar_date", "is_weekend"], 13)
     return _union([
+        _counts("fact_line_status", lines, TR.fact_line_status_rules()),
+        _counts("fact_arrival_observation", arrivals, TR.fact_arrival_rules()),
+        _counts("dim_date", days, TR.dim_date_rules()),
         _counts("fact_weather", weather, TR.fact_weather_rules()),
         _counts("current_line_status", status, TR.current_status_rules()),
         _counts("station_arrival_summary", summary, TR.arrival_summary_rules()),

@@ -113,7 +113,16 @@ def _rules() -> str:
             ("rate_in_range", f"coalesce(({d['disruption_rate_pct']}) BETWEEN 0 AND 100, true)"), least("line_snapshots", d["line_snapshots"]),
             least("arrival_observations", odd), least("distinct_vehicles", odd), least("stations_observed", odd), least("avg_eta_seconds", d["avg_eta_seconds"]),
             least("total_precipitation_mm", odd), least("max_wind_gust_kmh", odd)]
-    parts = [_counted(n, "o", rules) for n, rules in (("fact_weather", weather), ("current_line_status", status), ("station_arrival_summary", summary), ("daily_network_kpis", kpis))]
+    need = ["line_status_key", "line_key", "line_id", "snapshot_date_key", "request_id", "snapshot_at", "status_severity"]
+    h = holes([*need, "is_good_service"], 29, {"is_good_service": "(c % 5 = 0)"})
+    lines = [*not_null(need, h), ("flags_differ", f"({h['is_good_service']}) <> (c % 6 <> 0)")]
+    need = ["arrival_observation_key", "station_key", "line_key", "requested_station_id", "line_id", "prediction_date_key", "request_id", "arrival_id",
+            "prediction_timestamp", "expected_arrival", "snapshot_at", "time_to_station_seconds"]
+    h = holes(need, 31, {"time_to_station_seconds": odd})
+    arrivals = [*not_null(need, h), ("time_to_station_seconds_non_negative", f"({h['time_to_station_seconds']}) >= 0")]
+    h = holes(["date_key", "calendar_date", "is_weekend"], 13, {"is_weekend": "(c % 7 < 2)"})
+    days = [*not_null(["date_key", "calendar_date"], h), ("weekend_matches_day_name", f"({h['is_weekend']}) = (c % 7 IN (0, 4))")]
+    parts = [_counted(n, "o", rules) for n, rules in (("fact_line_status", lines), ("fact_arrival_observation", arrivals), ("dim_date", days), ("fact_weather", weather), ("current_line_status", status), ("station_arrival_summary", summary), ("daily_network_kpis", kpis))]
     return "WITH o AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders)\n" + "\nUNION ALL ".join(parts)
 
 
