@@ -38,11 +38,8 @@ from snapstar.llm.common import map_arrow
 
 #: Entries of a word memo and of the transducer's table.  A full memo loses its
 #: older half and a full table starts anew: both only save repeated work.
-MEMO_ENTRIES = 350_000
-TABLE_ENTRIES = 200_000
-#: Entries that a worker keeps of each between two tasks, when other queries may
-#: need its memory.
-RESTING_ENTRIES = 60_000
+MEMO_ENTRIES = 700_000
+TABLE_ENTRIES = 400_000
 #: Ids that the stream decoder takes at a time.
 STREAMED = 65_536
 
@@ -163,10 +160,8 @@ class MergeTransducer:
         return found
 
     def rest(self) -> None:
-        if len(self.table) > RESTING_ENTRIES:
-            self._clear()
-        if len(self._pair) > RESTING_ENTRIES:
-            self._pair.clear()
+        self._clear()
+        self._pair.clear()
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one pre-split piece.  A piece that is a token is that token."""
@@ -197,14 +192,6 @@ class _Memo(dict):
         return value
 
 
-    def rest(self) -> None:
-        """Only the newest entries stay."""
-        if len(self) > RESTING_ENTRIES:
-            newest = list(islice(reversed(self.items()), RESTING_ENTRIES))
-            self.clear()
-            self.update(reversed(newest))
-
-
 class _Pieces(_Memo):
     """Little-endian ids of one match of the pattern."""
 
@@ -244,9 +231,10 @@ class Codec:
         self.whole = np.array([utf8_run(0, t)[0] == 0 for t in self.token_bytes])
 
     def rest(self) -> None:
-        """Give back most of the memory between two tasks."""
+        """Give the memory back between two tasks, when other queries may need it;
+        a task fills its memos anew from its own texts."""
         for memo in (self.pieces, self.chunks, self.spaced):
-            memo.rest()
+            memo.clear()
         self.fst.rest()
 
     def encode(self, text: str) -> bytes:
@@ -365,7 +353,7 @@ def codec(path: str, pattern: str) -> Codec:
 def working(c: Codec):
     """Memos and states are millions of small tuples without cycles; walking them
     again and again for cycles takes a fifth of the time.  The worker serves other
-    queries too, so what was set before is set again and most memos go."""
+    queries too, so what was set before is set again and the memos go."""
     was = gc.isenabled()
     gc.disable()
     try:
