@@ -159,10 +159,6 @@ class MergeTransducer:
         self.table[state << 8 | byte] = found = (n, out)
         return found
 
-    def rest(self) -> None:
-        self._clear()
-        self._pair.clear()
-
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one pre-split piece.  A piece that is a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
@@ -231,11 +227,11 @@ class Codec:
         self.whole = np.array([utf8_run(0, t)[0] == 0 for t in self.token_bytes])
 
     def rest(self) -> None:
-        """Give the memory back between two tasks, when other queries may need it;
-        a task fills its memos anew from its own texts."""
+        """Give most memory back between two tasks, when other queries may need it.
+        A task fills its memos anew from its own texts; the transducer's table, which
+        takes longer to make, stays."""
         for memo in (self.pieces, self.chunks, self.spaced):
             memo.clear()
-        self.fst.rest()
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
