@@ -72,7 +72,7 @@ def outcomes(judged: DataFrame, requests: DataFrame) -> DataFrame:
 def judge(responses: DataFrame, contract: Callable[[Column], list[Q.Rule]]) -> DataFrame:
     """The responses with the names of the rules that each breaks; each payload is
     parsed once, for all rules."""
-    return stage(Q.with_failures(JS.with_body(responses), contract(F.col(JS.BODY))).drop(JS.BODY), "judged-responses")
+    return stage(Q.with_failures(JS.with_body(responses), contract(F.col(JS.BODY))).drop(JS.BODY), "judged-responses", "zstd")
 
 
 def publish(spark: SparkSession, dataset: str, judged: DataFrame, bronze: str, quarantine: str, requests: DataFrame | None = None,

@@ -38,6 +38,8 @@ from pyspark.sql.types import StringType, StructType
 from snapstar.sources import tables as T
 
 FOLDER = "commit_folder"
+#: Keys that a merge broadcasts to find their rows; more are joined by a shuffle.
+FEW_KEYS = 100_000
 HISTORY = "version long, operation string, rows_written long, total_rows long, committed_at timestamp, folders array<string>"
 
 
@@ -105,7 +107,7 @@ def _written(df: DataFrame, base: str, partition_by: Sequence[str], sort_by: Seq
     """A new folder with the rows of ``df``, and their number, counted by the write itself."""
     seen, folder = Observation(), str(uuid.uuid4())
     rows = T.laid_out(df, partition_by, sort_by).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = rows.write.mode("errorifexists")
+    writer = rows.write.mode("errorifexists").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{base}/data/{FOLDER}={folder}")
     return folder, seen.get["rows"]
 
@@ -172,21 +174,46 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, base: str, keys: S
     version reached.  Running it again adds no rows.
 
     ``within``: partition columns that a key always comes with.  Only their values
-    in the source are looked at in the table."""
-    rows = source.dropDuplicates(list(keys))
+    in the source are looked at in the table.
 
+    The keys are compared first, without the rest of the rows; rows are shuffled only
+    where a key repeats, or where many but not all are new.  The source is read more
+    than once: stage one that may give other rows when it is computed again."""
     def write() -> int:
         now = latest(spark, base)
         if not now:
-            return replace(spark, rows, base, "create", expected=0, **layout)
+            return replace(spark, _rows_of_new_keys(source, None, keys, null_safe), base, "create", expected=0, **layout)
         there = read(spark, base, now)
         if within:
-            there = there.join(rows.select(*within).distinct(), list(within), "left_semi")
-        return append(spark, T.new_rows(there.select(*keys), rows, keys, null_safe), base, "merge", expected=now, **layout)
+            there = there.join(source.select(*within).distinct(), list(within), "left_semi")
+        return append(spark, _rows_of_new_keys(source, there.select(*keys), keys, null_safe), base, "merge", expected=now, **layout)
 
     return _again(write)
 
 
+def _rows_of_new_keys(source: DataFrame, there: DataFrame | None, keys: Sequence[str], null_safe: Sequence[str]) -> DataFrame:
+    """One source row for each key that is not ``there``; null keys are one key."""
+    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    fresh = T.stage(counted if there is None else T.new_rows(there, counted, keys, null_safe), "new-keys")
+    got = fresh.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("repeated")).first()
+    if not got["keys"]:
+        return source.where(F.lit(False))
+
+    def having(rows: DataFrame, some: DataFrame, number: int, how: str) -> DataFrame:
+        some = some.select(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)])
+        match = [rows[k].eqNullSafe(some[f"_key{i}"]) for i, k in enumerate(keys)]
+        return rows.join(F.broadcast(some) if number <= FEW_KEYS else some, match, how)
+
+    rows = source
+    if there is not None and (got["keys"] <= FEW_KEYS or got["rows"] < source.count()):
+        rows = having(rows, fresh, got["keys"], "left_semi")
+    if not got["repeated"]:
+        return rows
+    repeated = fresh.where("_n > 1")
+    once = having(rows, repeated, got["repeated"], "left_anti")
+    return once.unionByName(having(rows, repeated, got["repeated"], "left_semi").dropDuplicates(list(keys)))
+
+
 def merge_upsert(spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], null_safe: Sequence[str] = (), **layout) -> int:
     """Replace the rows whose keys the source has, and add the others of the source."""
     T.refuse_repeated(source, keys, base)
