@@ -11,6 +11,11 @@ the set of live hypotheses, and the longest common prefix of their tokens is
 emitted as soon as it is common.  No token is longer than the longest in the
 vocabulary, so no more than that many bytes are ever open.
 
+Pieces of up to ``TOGETHER`` bytes go through it many at a time, byte by byte in
+step: the states that their prefixes reach are made as arrays, each distinct prefix
+once, and tokens are read back from the end.  What a run has made is dropped with it;
+only longer pieces, one at a time, use the stored table.
+
 Decoding feeds tokens to an incremental UTF-8 state machine.
 
 Rows: null text counts as empty (no ids); repeated rows give repeated results;
@@ -24,9 +29,8 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from array import array
 from contextlib import contextmanager
-from itertools import islice
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +40,15 @@ from pyspark.sql import functions as F
 
 from snapstar.llm.common import map_arrow
 
-#: Entries of a word memo and of the transducer's table.  A full memo loses its
-#: older half and a full table starts anew: both only save repeated work.
-MEMO_ENTRIES = 700_000
-TABLE_ENTRIES = 400_000
+#: Entries and characters of a word memo, entries of the transducer's table and of the
+#: pairs of tokens that were compared.  What is full starts anew: all only save repeated
+#: work.
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 8_000_000
+TABLE_ENTRIES = 100_000
+PAIR_ENTRIES = 600_000
+#: Bytes of a piece that goes through the transducer beside others, pieces that do so
+#: at a time, and chunks and characters that are looked up at a time.
+TOGETHER, PIECES_AT_ONCE, CHUNKS_AT_ONCE, CHARS_AT_ONCE = 256, 32_768, 200_000, 1_000_000
 #: Ids that the stream decoder takes at a time.
 STREAMED = 65_536
 
@@ -49,6 +58,36 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class _IntMap:
+    """Non-negative integers to small ones, whole arrays at a time (linear probing)."""
+
+    def __init__(self, entries: int, dtype):
+        self.bits = max(4, (2 * entries).bit_length())
+        self.keys, self.values, self.used = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, dtype), 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """``keys``: distinct and new."""
+        slot, self.used = self._slots(keys), self.used + len(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]
+            placed = self.keys[slot] == keys
+            self.values[slot[placed]] = values[placed]
+            keys, values, slot = keys[~placed], values[~placed], (slot[~placed] + 1) & (len(self.keys) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values; -1 for unknown keys."""
+        slot = self._slots(keys)
+        there = self.keys[slot]
+        while len(other := np.flatnonzero((there != keys) & (there >= 0))):
+            slot[other] = (slot[other] + 1) & (len(self.keys) - 1)
+            there[other] = self.keys[slot[other]]
+        return np.where(there == keys, self.values[slot], -1)
+
+
 class MergeTransducer:
     """Bytes to token ids, one byte at a time, by lazily built states."""
 
@@ -69,6 +108,10 @@ class MergeTransducer:
             self.token_at[node] = i
         self._side: dict[bytes, tuple | None] = {}
         self._pair: dict[int, bool] = {}
+        self._tokens_at = np.array(self.token_at, np.int64)
+        self._trie = _IntMap(len(self.trie), np.int32)
+        self._trie.add(np.fromiter(self.trie, np.int64, len(self.trie)), np.fromiter(self.trie.values(), np.int32, len(self.trie)))
+        self._pairs = _IntMap(PAIR_ENTRIES, np.int8)
         self._clear()
 
     def _clear(self) -> None:
@@ -121,11 +164,21 @@ class MergeTransducer:
                 i += 1
             else:
                 j += 1
-        if len(self._pair) > 4 * TABLE_ENTRIES:
-            self._pair.clear()
-        self._pair[a << 32 | b] = ok
         return ok
 
+    def _follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_may_follow`` for whole arrays."""
+        keys = (a + 1) << 32 | b
+        ok = self._pairs.get(keys)
+        if (ok < 0).any():
+            new = np.unique(keys[ok < 0])
+            found = np.fromiter((self._may_follow((k >> 32) - 1, k & 0xFFFFFFFF) for k in new.tolist()), np.int8, len(new))
+            ok[ok < 0] = found[np.searchsorted(new, keys[ok < 0])]
+            if self._pairs.used + len(new) > PAIR_ENTRIES:
+                self._pairs = _IntMap(PAIR_ENTRIES, np.int8)
+            self._pairs.add(new[:PAIR_ENTRIES], found[:PAIR_ENTRIES])
+        return ok == 1
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         last, hyps = self.states[state]
         new, done = [], None
@@ -138,7 +191,9 @@ class MergeTransducer:
             if done is None and (t := token_at[grown]) >= 0:
                 a = open_[-1] if open_ else last
                 if (ok := known.get(a << 32 | t)) is None:
-                    ok = self._may_follow(a, t)
+                    if len(known) > TABLE_ENTRIES:
+                        known.clear()
+                    ok = known[a << 32 | t] = self._may_follow(a, t)
                 if ok:
                     done = (*open_, t)
         if done is None:
@@ -173,42 +228,140 @@ class MergeTransducer:
         ids += next((o for o, p in self.states[state][1] if not p), ())
         return tuple(ids)
 
-
-class Irregular(Exception):
-    pass
-
-
-class _Memo(dict):
-    def keep(self, key: str, value: bytes) -> bytes:
-        if len(key) <= 64:
-            if len(self) >= MEMO_ENTRIES:
-                for old in list(islice(self, MEMO_ENTRIES // 2)):
-                    del self[old]
-            self[key] = value
-        return value
-
-
-class _Pieces(_Memo):
-    """Little-endian ids of one match of the pattern."""
-
-    def __init__(self, fst: MergeTransducer):
-        self.fst = fst
-
-    def __missing__(self, piece: str) -> bytes:
-        return self.keep(piece, array("I", self.fst.encode(piece.encode("utf-8"))).tobytes())
-
-
-class _Chunks(_Memo):
-    """Little-endian ids of a chunk (one run of white space and what follows)."""
-
-    def __init__(self, pieces: _Pieces, findall, lead: str):
-        self.pieces, self.findall, self.lead = pieces, findall, lead
-
-    def __missing__(self, chunk: str) -> bytes:
-        if self.lead and (not chunk or chunk.isspace()):
-            raise Irregular
-        found = self.findall(self.lead + chunk)
-        return self.keep(chunk, b"".join(map(self.pieces.__getitem__, found)))
+    def encode_sorted(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many pieces, sorted and not empty, and how many each has.
+
+        All pieces are read in step.  At each byte, the pieces that came from one state
+        by one byte are in one state again.  A hypothesis is (state where its token
+        begins, last token before that, node of the trie); of a state are kept the
+        token that ends there and the state where that begins."""
+        n = len(pieces)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        length = np.fromiter(map(len, pieces), np.int64, n)
+        at, ends = np.cumsum(length) - length, np.zeros(n, np.int64)
+        active, state = np.arange(n), np.zeros(n, np.int64)
+        count = np.ones(1, np.int64)  # hypotheses of each state
+        begins, last, node = np.zeros(1, np.int64), np.full(1, -1, np.int64), np.zeros(1, np.int64)
+        first, tokens, back = 0, [np.full(1, -1, np.int64)], [np.zeros(1, np.int64)]  # first: number of this byte's first state
+        for depth in range(int(length.max(initial=0)) + 1):
+            over = length[active] == depth
+            ends[active[over]] = first + state[over]
+            active, state = active[~over], state[~over]
+            if not len(active):
+                break
+            byte = data[at[active] + depth].astype(np.int64)
+            new = np.r_[True, (state[1:] != state[:-1]) | (byte[1:] != byte[:-1])]
+            parent, byte = state[new], byte[new]
+            state, first, m = np.cumsum(new) - 1, first + len(count), len(parent)
+            many = count[parent]
+            owner = np.repeat(np.arange(m), many)
+            source = np.arange(len(owner)) + np.repeat((np.cumsum(count) - count)[parent] - (np.cumsum(many) - many), many)
+            grown = self._trie.get(node[source] << 8 | byte[owner])
+            live = np.flatnonzero(grown >= 0)
+            owner, source, grown = owner[live], source[live], grown[live].astype(np.int64)
+            begins, last = begins[source], last[source]
+            token = self._tokens_at[grown]
+            ended = np.flatnonzero(token >= 0)
+            ended = ended[self._follow(last[ended], token[ended])]
+            ended = ended[np.r_[True, owner[ended][1:] != owner[ended][:-1]]] if len(ended) else ended
+            if len(ended) != m:
+                raise ValueError("the vocabulary lacks single bytes")
+            tokens.append(token[ended])
+            back.append(begins[ended])
+            # One hypothesis more for each state: a token begins here.
+            kept = np.bincount(owner, minlength=m)
+            old, fresh = np.arange(len(owner)) + owner, np.cumsum(kept) + np.arange(m)
+            count = kept + 1
+            parts = ((begins, first + np.arange(m)), (last, tokens[-1]), (grown, np.zeros(m, np.int64)))
+            begins, last, node = (np.empty(len(owner) + m, np.int64) for _ in parts)
+            for to, (was, more) in zip((begins, last, node), parts):
+                to[old], to[fresh] = was, more
+        tokens, back = np.concatenate(tokens), np.concatenate(back)
+        # From the last token to the first.
+        which, found, open_ = [], [], np.arange(n)
+        state = ends
+        while len(open_):
+            which.append(open_)
+            found.append(tokens[state])
+            state = back[state]
+            open_, state = open_[state > 0], state[state > 0]
+        size = np.bincount(np.concatenate(which), minlength=n) if which else np.zeros(0, np.int64)
+        to = np.cumsum(size)
+        ids = np.empty(int(size.sum()), "<u4")
+        for k, (pieces_, t) in enumerate(zip(which, found), 1):
+            ids[to[pieces_] - k] = t
+        return ids, size
+
+    def encode_all(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many pre-split pieces in a row, and how many each has."""
+        raw = [p.encode("utf-8") for p in pieces]
+        alone = np.fromiter(map(self.ranks.get, raw, repeat(-1)), np.int64, len(raw))
+        rest = np.flatnonzero(alone < 0).tolist()
+        rest.sort(key=raw.__getitem__)
+        short, flat, size, of = [k for k in rest if len(raw[k]) <= TOGETHER], [], [], []
+        for at in range(0, len(short), PIECES_AT_ONCE):
+            of.append(short[at:at + PIECES_AT_ONCE])
+            for to, found in zip((flat, size), self.encode_sorted([raw[k] for k in of[-1]])):
+                to.append(found)
+        for k in rest:
+            if len(raw[k]) > TOGETHER:
+                of.append([k])
+                flat.append(np.array(self.encode(raw[k]), "<u4"))
+                size.append(np.array([len(flat[-1])]))
+        whole = np.flatnonzero(alone >= 0)
+        flat, size, of = (np.concatenate(x) for x in ((*flat, alone[whole].astype("<u4")), (*size, np.ones_like(whole)), (*of, whole)))
+        order = np.argsort(of)
+        return runs(flat, (np.cumsum(size) - size)[order], size[order]), size[order]
+
+
+def runs(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Pieces of ``flat`` in a row."""
+    to = np.cumsum(size)
+    return flat[np.arange(to[-1] if len(to) else 0) + np.repeat(start - to + size, size)]
+
+
+class _Numbers(dict):
+    """The number of each string, by first look-up; new ones are listed in ``memo``."""
+
+    def __init__(self, memo: _Memo, lead: str):
+        self.memo, self.lead = memo, lead
+
+    def __missing__(self, key: str) -> int:
+        self.memo.new.append(self.lead + key)
+        n = self[key] = self.memo.next
+        self.memo.next = n + 1
+        return n
+
+
+class _Memo:
+    """Strings and their ids.  ``spaced`` has strings without the one space they begin
+    with."""
+
+    def __init__(self, encode_all):
+        self.encode_all = encode_all
+        self.plain, self.spaced = _Numbers(self, ""), _Numbers(self, " ")
+        self.clear()
+
+    def clear(self) -> None:
+        self.plain.clear()
+        self.spaced.clear()
+        self.new: list[str] = []
+        self.next = self.chars = 0
+        self.flat, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings of these numbers in a row, and how many each has.  A
+        full memo is emptied behind it, so numbers hold until then."""
+        if self.new:
+            new, self.new = self.new, []
+            self.chars += sum(map(len, new))
+            flat, size = self.encode_all(new)
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+        size = self.size[numbers]
+        found = runs(self.flat, (np.cumsum(self.size) - self.size)[numbers], size), size
+        if self.next > MEMO_ENTRIES or self.chars > MEMO_CHARS:
+            self.clear()
+        return found
 
 
 class Codec:
@@ -220,29 +373,62 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         self.fst = MergeTransducer(load_ranks(path))
-        pieces, findall = _Pieces(self.fst), regex.compile(pattern).findall
-        self.pieces, self.chunks, self.spaced = pieces, _Chunks(pieces, findall, ""), _Chunks(pieces, findall, " ")
+        self.findall = regex.compile(pattern).findall
+        # Of matches of the pattern, and of chunks (a run of white space and what follows).
+        self.pieces, self.chunks = _Memo(self.fst.encode_all), _Memo(self._split)
         size = max(self.fst.bytes_of) + 1
         self.token_bytes = [self.fst.bytes_of.get(i, b"") for i in range(size)]
         self.whole = np.array([utf8_run(0, t)[0] == 0 for t in self.token_bytes])
 
     def rest(self) -> None:
         """Give most memory back between two tasks, when other queries may need it.
-        A task fills its memos anew from its own texts; the transducer's table, which
-        takes longer to make, stays."""
-        for memo in (self.pieces, self.chunks, self.spaced):
-            memo.clear()
+        A task fills its memos anew from its own texts; the transducer's table and
+        pairs, which take longer to make, stay."""
+        self.pieces.clear()
+        self.chunks.clear()
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        parts = text.split(" ")
-        try:
-            # Single spaces between words: each part with its space is a chunk.
-            return (self.chunks[parts[0]] if parts[0] else b"") + b"".join(map(self.spaced.__getitem__, parts[1:]))
-        except Irregular:
-            return b"".join(map(self.chunks.__getitem__, self.CHUNK.findall(text)))
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        todo, size = [], 0
+        for k, text in enumerate(texts):
+            for numbers, chunks in self._cut(text or ""):
+                for at in range(0, len(chunks), CHUNKS_AT_ONCE):
+                    part = chunks[at:at + CHUNKS_AT_ONCE]
+                    todo.append((k, np.fromiter(map(numbers.__getitem__, part), np.int64, len(part))))
+                    size += len(part)
+                    if size >= CHUNKS_AT_ONCE:
+                        self._look_up(todo, out)
+                        todo, size = [], 0
+        self._look_up(todo, out)
+        return [b"".join(x) for x in out]
+
+    def _cut(self, text: str):
+        """The chunks of ``text`` in order, and the numbers that they are looked up in."""
+        first, *rest = text.split(" ")
+        if "" in rest or any(map(str.isspace, rest)):
+            return [(self.chunks.plain, self.CHUNK.findall(text))]
+        # Single spaces between words: each part with its space is a chunk.
+        return [(self.chunks.plain, [first] if first else []), (self.chunks.spaced, rest)]
+
+    def _look_up(self, todo: list[tuple[int, np.ndarray]], out: list[list[bytes]]) -> None:
+        if todo:
+            ids, size = self.chunks.ids(np.concatenate([numbers for _, numbers in todo]))
+            ends = np.cumsum(size)[np.cumsum([len(numbers) for _, numbers in todo]) - 1].tolist()
+            for (k, _), a, b in zip(todo, [0, *ends], ends):
+                out[k].append(ids[a:b].tobytes())
+
+    def _split(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks in a row, and how many each has, by their matches."""
+        found = [*map(self.findall, chunks)]
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        numbers = np.fromiter(map(self.pieces.plain.__getitem__, chain.from_iterable(found)), np.int64, ends[-1])
+        ids, size = self.pieces.ids(numbers)
+        return ids, np.diff(np.r_[0, np.cumsum(size)][np.r_[0, ends]])
 
     def decode_bytes(self, ids: np.ndarray) -> tuple[bytes, bool]:
         """The bytes of ``ids`` and whether the state machine accepts them."""
@@ -347,8 +533,8 @@ def codec(path: str, pattern: str) -> Codec:
 
 @contextmanager
 def working(c: Codec):
-    """Memos and states are millions of small tuples without cycles; walking them
-    again and again for cycles takes a fifth of the time.  The worker serves other
+    """Memos and states are many small objects without cycles; walking them again
+    and again for cycles takes a fifth of the time.  The worker serves other
     queries too, so what was set before is set again and the memos go."""
     was = gc.isenabled()
     gc.disable()
@@ -365,13 +551,25 @@ def encode_batches(batches, path: str, pattern: str):
         yield from _encoded(batches, c)
 
 
-def _encoded(batches, c: Codec):
+def _groups(batches):
+    """Row numbers and texts, so many characters at a time: a batch may hold very long texts."""
     for b in batches:
-        ids = [np.frombuffer(c.encode(t or ""), "<u4").astype(np.int32) for t in b.column(1).to_pylist()]
+        ids, texts, size = b.column(0), [], 0
+        for k, t in enumerate(b.column(1), 1):
+            texts.append(t.as_py())
+            size += len(texts[-1] or "")
+            if size > CHARS_AT_ONCE or k == b.num_rows:
+                yield ids.slice(k - len(texts), len(texts)), texts
+                texts, size = [], 0
+
+
+def _encoded(batches, c: Codec):
+    for doc_ids, texts in _groups(batches):
+        ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in c.encode_many(texts)]
         lengths = np.cumsum([0, *map(len, ids)])
         flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.LargeListArray.from_arrays(pa.array(lengths, pa.int64()), flat).cast(pa.list_(pa.int32()))], ["doc_id", "ids"])
+            [doc_ids, pa.LargeListArray.from_arrays(pa.array(lengths, pa.int64()), flat).cast(pa.list_(pa.int32()))], ["doc_id", "ids"])
 
 
 def decode_batches(batches, path: str, pattern: str):
@@ -396,15 +594,14 @@ def digest_batches(batches, path: str, pattern: str):
 
 
 def _digests(batches, c: Codec):
-    for b in batches:
+    for doc_ids, texts in _groups(batches):
         n, sha, back = [], [], []
-        for t in b.column(1):  # one text at a time: a batch may hold very long ones
-            ids = c.encode(t.as_py() or "")
+        for ids in c.encode_many(texts):
             n.append(len(ids) // 4)
             sha.append(hashlib.sha256(ids).hexdigest())
             back.append(decoded_digest(c, np.frombuffer(ids, "<u4")))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())],
+            [doc_ids, pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 

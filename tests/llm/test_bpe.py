@@ -3,9 +3,11 @@
 import gc
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -91,3 +93,43 @@ def test_stream_decoder_takes_runs_of_ids_as_it_takes_single_ones(monkeypatch):
         monkeypatch.setattr(bpe, "STREAMED", 3)
         assert bpe.decoded_digest(c, ids) == hashlib.sha256(want).hexdigest()
     assert gc.isenabled()
+
+
+def new_words(n, seed=3):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("etaoinshrdlué漢") for _ in range(rng.randint(3, 14)))
+    return [" ".join(word() + rng.choice(["", ",", ".\n", "!!", "'s"]) for _ in range(200)) for _ in range(n // 200)]
+
+
+def test_words_met_once_leave_little_in_a_worker():
+    """40,000 different words left a transducer's table of 60 MB and more."""
+    c, texts = bpe.Codec(PATH, PATTERN), new_words(40_000)
+    tracemalloc.start()
+    try:
+        with bpe.working(c):
+            for t in texts:
+                c.encode(t)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 20e6
+
+
+@pytest.mark.parametrize("together", [0, 4, 256])
+def test_pieces_in_step_and_alone_equal_the_librarys(library, monkeypatch, together):
+    monkeypatch.setattr(bpe, "TOGETHER", together)
+    monkeypatch.setattr(bpe, "PIECES_AT_ONCE", 7)
+    monkeypatch.setattr(bpe, "CHUNKS_AT_ONCE", 50)
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 90)
+    monkeypatch.setattr(bpe, "PAIR_ENTRIES", 100)
+    c = bpe.Codec(PATH, PATTERN)
+    texts = [*random_texts(60), None, "", *new_words(1_000), "漢字" * 300, "x" * 700, " ".join("ab" * k for k in range(150))]
+    assert [np.frombuffer(i, "<u4").tolist() for i in c.encode_many(texts)] == [library.encode_ordinary(t or "") for t in texts]
+
+
+def test_groups_of_texts_keep_the_rows(monkeypatch):
+    monkeypatch.setattr(bpe, "CHARS_AT_ONCE", 30)
+    rows = [(k, None if k % 7 == 0 else "word " * (k % 11)) for k in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc_id", "text"])
+    got = [r for b in bpe.digest_batches([batch, batch.slice(0, 0)], PATH, PATTERN) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["decoded_sha256"]) for r in got] == [(k, hashlib.sha256((t or "").encode()).hexdigest()) for k, t in rows]
