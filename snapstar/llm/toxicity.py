@@ -43,8 +43,10 @@ SAMPLE_ROWS = 1_500
 SAMPLE_CHARS = 8_000
 #: Passes over the sample, and steps at least (a small sample is passed more often).
 EPOCHS, MIN_STEPS = 5, 480
-#: Words whose projections a Python worker keeps.
-WORDS_KEPT = 200_000
+#: Words whose projections a Python worker keeps, and characters of the texts that it
+#: scores at a time.
+WORDS_KEPT = 100_000
+CHARS_AT_ONCE = 1_000_000
 #: Windows that go through the network at a time.
 AT_ONCE = 2_048
 
@@ -270,20 +272,24 @@ class Scorer:
         return _sigmoid(soft_maximum(logits, owner, len(texts))[0] + self.net.shift).astype(np.float64)
 
 
-def score_batches(batches, net):
+def scored(batches, column, net):
+    """Pieces of the batches, so many characters of the named column each, and the
+    scores of their rows: little is held beside a batch."""
     net = net.value if hasattr(net, "value") else net
     scorer = Scorer(net) if isinstance(net, Network) else None
     for b in batches:
-        texts, size, out = [], 0, []
-        for t in b.column(1):  # so many characters at a time
+        texts, size = [], 0
+        for k, t in enumerate(b.column(b.schema.get_field_index(column)), 1):
             texts.append(t.as_py())
             size += len(texts[-1] or "")
-            if size > 1_000_000:
-                out.append(scorer.scores(texts) if scorer else np.full(len(texts), float(net)))
+            if size > CHARS_AT_ONCE or k == b.num_rows:
+                yield b.slice(k - len(texts), len(texts)), scorer.scores(texts) if scorer else np.full(len(texts), float(net))
                 texts, size = [], 0
-        if texts:
-            out.append(scorer.scores(texts) if scorer else np.full(len(texts), float(net)))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(out) if out else np.zeros(0))], ["doc_id", "score"])
+
+
+def score_batches(batches, net):
+    for b, found in scored(batches, "text", net):
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found)], ["doc_id", "score"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, epochs: int = EPOCHS):
@@ -334,8 +340,5 @@ def remove(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
 
 
 def clean_batches(batches, net, threshold):
-    for b in batches:
-        text = b.column(b.schema.get_field_index("text"))
-        rows = pa.RecordBatch.from_arrays([pa.array(np.arange(b.num_rows)), text.cast(pa.string())], ["doc_id", "text"])
-        for scored in score_batches([rows], net):
-            yield b.filter(pa.array(scored.column(1).to_numpy() < threshold))
+    for b, found in scored(batches, "text", net):
+        yield b.filter(pa.array(found < threshold))

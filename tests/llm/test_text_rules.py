@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from snapstar.llm import divergence, licenses, mixing, surrogates, toxicity
@@ -473,3 +474,18 @@ def test_accented_names_are_found(spark):
     got = rows_of(surrogates.replace(make_docs(spark, list(enumerate(texts))), b"key").orderBy("doc_id"))
     assert [r["n_replaced"] for r in got] == [2, 2]
     assert not any(w in r["text"] for r in got for w in ("Müller", "Álvarez", "Öß", "Dupré", "Jürgen", "François", "Hélène"))
+
+
+def test_clean_rows_leave_in_pieces_of_a_batch():
+    """A batch of long texts went out as a second batch of its size, beside the first."""
+    net = toxicity.Network({"bad": 1}, seed=2)
+    rng = np.random.default_rng(4)
+    texts = [None, "", *(" ".join(rng.choice(["bad", "good", "word", "other"], 60_000)) for _ in range(14)), "bad"]
+    scorer = toxicity.Scorer(net)
+    scores = np.array([scorer.scores([t])[0] for t in texts])
+    limit = float(np.sort(scores)[-2])
+    columns = {"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts), "more": pa.array(texts, pa.large_string())}
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    got = list(toxicity.clean_batches([batch, batch.slice(0, 0)], net, limit))
+    assert [(r["doc_id"], r["text"], r["more"]) for b in got for r in b.to_pylist()] == [(k, t, t) for k, t in enumerate(texts) if scores[k] < limit]
+    assert max(sum(map(len, filter(None, b.column(1).to_pylist()))) for b in got) < 1_500_000
