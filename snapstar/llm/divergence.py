@@ -41,17 +41,21 @@ SPACE = r"[\x20\x09-\x0D]"
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.8
 
-# Words of 8-word windows that are found twice or more.  array(x) with
-# transform binds x to a name, so that each array is made once.
-_REPEATED = """
-transform(array(transform(w, x -> xxhash64(x))), wh ->
-  transform(array(transform(sequence(1, size(wh) - 7), i -> xxhash64(slice(wh, i, 8)))), g ->
+# Words of 8-word windows that are found twice or more.  A window's hash is made
+# of those of its halves, so that no window is copied.  array(x) with transform
+# binds x to a name, so that each array is made once.
+_JOINED = "zip_with({0}, slice({0}, {1} + 1, size({0})), (a, b) -> xxhash64(a, b))"
+_REPEATED = f"""
+transform(array(transform(w, x -> xxhash64(x))), h1 ->
+  transform(array({_JOINED.format("h1", 1)}), h2 ->
+  transform(array({_JOINED.format("h2", 2)}), h4 ->
+  transform(array(slice({_JOINED.format("h4", 4)}, 1, size(h1) - 7)), g ->
     CASE WHEN size(array_distinct(g)) = size(g) THEN 0L ELSE
       transform(array(array_sort(transform(g, (h, i) -> struct(h, i)))), s ->
         transform(array(array_sort(array_distinct(flatten(
             zip_with(s, slice(s, 2, size(s)), (a, b) -> CASE WHEN a.h = b.h THEN array(a.i, b.i) ELSE CAST(array() AS array<int>) END))))), p ->
           aggregate(zip_with(p, slice(p, 2, size(p) + 1), (a, b) -> CAST(coalesce(least(8, b - a), 8) AS bigint)), 0L, (t, x) -> t + x))[0])[0]
-    END)[0])[0]
+    END)[0])[0])[0])[0]
 """
 
 
@@ -83,16 +87,16 @@ def _common(lang: Column, t: Column) -> tuple[Column, Column]:
     common words in it (to be added as ``spread`` first)."""
     spread = F.concat(F.lit(" "), F.regexp_replace(F.lower(t), r"[^\p{L}]+", "  "), F.lit(" "))
 
-    def counts(words: list[str]):
-        # Words stand between two spaces each, so " the " never overlaps another.
-        each = [((F.length("spread") - F.length(F.replace(F.col("spread"), F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("int") for w in words]
-        return F.array(*each)
-
     chosen = None
-    for code, words in COMMON_WORDS.items():
-        branch = counts(words)
-        chosen = F.when(lang == code, branch) if chosen is None else chosen.when(lang == code, branch)
-    return spread, chosen
+    for code, common in COMMON_WORDS.items():
+        words = F.array(*map(F.lit, common))
+        chosen = F.when(lang == code, words) if chosen is None else chosen.when(lang == code, words)
+    # Words stand between two spaces each, so " the " never overlaps another.
+    # One expression for all words: a copy for each word of each language makes
+    # methods that are too long for the JVM's compilers.
+    gone = lambda n, spaced: (n - F.octet_length(F.replace(F.col("spread"), spaced, F.lit("")))) / F.octet_length(spaced)
+    counts = F.transform(F.array(F.octet_length("spread")), lambda n: F.transform(chosen, lambda w: gone(n, F.concat(F.lit(" "), w, F.lit(" "))).cast("int")))
+    return spread, counts[0]
 
 
 def histograms(docs: DataFrame) -> DataFrame:
@@ -112,10 +116,13 @@ def references(rows: DataFrame, labels: DataFrame, min_chars: int = MIN_CHARS, m
     ``labels``: (doc_id, quality); an id that is called both good and poor is poor."""
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
     long_enough = rows.select("doc_id", "lang", "n_chars", "n_words", "p_chars", "p_words").join(good, "doc_id", "left_semi").where((F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words))
-    known = F.when(F.col("lang").isin(list(COMMON_WORDS)), F.col("lang")).otherwise("")
-    mean = lambda c, n: F.array(*[F.avg(F.col(c)[k]) for k in range(n)])
-    by_lang = long_enough.groupBy(known.alias("ref")).agg(mean("p_chars", 8).alias("q_chars"), mean("p_words", N_COMMON + 1).alias("q_words"), F.count("*").alias("weight"))
-    known_lang = by_lang.where("ref <> ''")
+    # A row for each entry of a histogram: an aggregate of each entry beside the
+    # others is as long, in generated code and in its buffers, as all of them.
+    entries = (long_enough.where(F.col("lang").isin(list(COMMON_WORDS)))
+               .select(F.col("lang").alias("ref"), F.posexplode(F.concat("p_chars", "p_words")).alias("k", "p")))
+    means = entries.groupBy("ref", "k").agg(F.avg("p").alias("q"), F.count("*").alias("weight"))
+    known_lang = (means.groupBy("ref").agg(F.array_sort(F.collect_list(F.struct("k", "q"))).alias("e"), F.max("weight").alias("weight"))
+                  .select("ref", F.slice("e.q", 1, 8).alias("q_chars"), F.slice("e.q", 9, N_COMMON + 1).alias("q_words"), "weight"))
     every = known_lang.agg(F.when(F.count("*") > 0, F.array(*[F.sum(F.col("q_chars")[k] * F.col("weight")) / F.sum("weight") for k in range(8)])).alias("q_chars"))
     codes = rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in [*COMMON_WORDS, ""]])).alias("ref"))
     # A language without good documents is judged by the characters of all others.

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from snapstar.llm import divergence, licenses, mixing, surrogates, toxicity
 from tests.llm.conftest import SF, make_docs, rows_of, words
@@ -119,6 +120,37 @@ def test_verdicts_against_a_plain_version(spark):
     assert 0 < sum(r["kept"] for r in got) < len(got)
 
 
+def generated(df):
+    """(length, longest method in bytes) of each piece of code that Spark generates for a frame."""
+    debug = getattr(getattr(df.sparkSession._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+    pieces = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [(len(p._2()), p._3().maxMethodCodeSize()) for p in map(pieces.apply, range(pieces.size()))]
+
+
+def test_generated_code_stays_short(spark):
+    """The JVM never compiles a method of more than 8000 bytes: it would interpret it for each document."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = divergence.histograms(make_docs(spark, [(1, "the house and the river " * 20)]))
+        code = generated(rows)
+        assert code and all(longest < 8000 for _, longest in code), code
+        # No aggregate has a buffer for each entry of the histograms.
+        code = generated(divergence.references(rows, good_labels(spark, [1])))
+        assert code and all(length < 100_000 for length, _ in code), code
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_common_words_are_counted_in_every_language(spark):
+    texts = {"en": "The the THE, of\nthe thesis", "de": "für f\u00fcr Für über der", "fr": "le la l'un à une", "es": "más mas m\u00e1s y", "xx": "the der le", None: "the"}
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    spread, common = divergence._common(F.col("lang"), F.col("text"))
+    got = {r["lang"]: r["common"] for r in docs.withColumn("spread", spread).withColumn("common", common).collect()}
+    seen = {lang: re.findall(r"[^\W\d_]+", t.lower()) for lang, t in texts.items()}
+    assert got == {lang: [seen[lang].count(w) for w in divergence.COMMON_WORDS[lang]] if lang in divergence.COMMON_WORDS else None for lang in texts}
+
+
 # --- licences -------------------------------------------------------------------
 
 
