@@ -1,14 +1,18 @@
 """Steps that shuffle keys or narrow rows where they shuffled whole rows."""
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import functions as F
 
+from snapstar.functions import keys as K
 from snapstar.operators import audit as A
 from snapstar.operators import dedup as D
 from snapstar.plans import gold_model as G
+from snapstar.plans import jobs as J
 from snapstar.plans import model as M
+from snapstar.plans import transit as TR
 from snapstar.session import ensure_checkpoint_dir
 from snapstar.sources import versions as V
 
@@ -86,3 +90,51 @@ def test_faults_are_added_to_the_tables_where_they_lie(spark):
     files = lambda df: set(df.inputFiles())
     assert all(files(t[n]) <= files(twice[n]) for n in t)
     assert twice["fact_arrival_observation"].count() == t["fact_arrival_observation"].count() + 2
+
+
+def test_a_payload_is_made_and_parsed_once(spark):
+    for bronze, contract in ((M.weather_bronze, TR.weather_contract), (M.line_status_bronze, TR.line_status_contract)):
+        plan = G._good(bronze(spark, SF), contract)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1 and plan.count("StructsToJson") == 1
+
+
+def arrivals_of(spark, responses) -> list:
+    at = dt.datetime(2024, 8, 23, 21)
+    element = lambda i, vehicle, eta: {"id": i, "vehicleId": vehicle, "stationName": "x", "lineId": "L1", "timestamp": "2024-08-23T21:00:00Z",
+                                       "timeToStation": eta, "expectedArrival": "2024-08-23T21:00:00Z"}
+    rows = [(r, "/StopPoint/S1/Arrivals", at, at.date(), "tfl", json.dumps([element(*e) for e in elements])) for r, elements in responses]
+    return spark.createDataFrame(rows, "request_id string, source_endpoint string, ingested_at timestamp, ingestion_date date, source string, payload string")
+
+
+def test_equal_arrivals_of_a_response_meet_where_it_lies(spark, monkeypatch):
+    within = [(f"r{i}", [("x1", "v2", 5), ("x1", "v1", 7), ("x1", "v0", -1), ("x1", "v0", -1), ("x2", "v9", 1)]) for i in range(9)]
+    across = [("r1", [("x1", "v3", 5), ("x3", "v1", 4)]), ("r0||x", [("1", "v1", 1)]), ("r0", [("x||1", "v0", 1)])]
+    want = {("x1", "v1"), ("x2", "v9")}
+    for few in (D.REPEATED_BROADCAST, 0):  # whether repeated keys are few or many
+        monkeypatch.setattr(D, "REPEATED_BROADCAST", few)
+        silver, invalid = J.silver_arrivals(arrivals_of(spark, within))
+        assert sorted((r["request_id"], r["arrival_id"], r["vehicle_id"]) for r in silver.collect()) == sorted((f"r{i}", *w) for i in range(9) for w in want)
+        assert invalid.count() == 18 and "Exchange" not in plan_of(silver)
+        silver, invalid = J.silver_arrivals(arrivals_of(spark, within + across))
+        got = sorted((r["request_id"], r["arrival_id"], r["vehicle_id"]) for r in silver.collect())
+        assert got == sorted([(f"r{i}", *w) for i in range(9) for w in want] + [("r1", "x3", "v1"), ("r0", "x||1", "v0")]) and invalid.count() == 18
+
+
+def test_folded_keys_come_back(spark):
+    rows = [("r", "a", None), ("r", "a", "="), ("r", "a", ""), ("r", "a", "!x"), ("r", "a", "ab"), (None, None, "k")]
+    df = spark.createDataFrame(rows, "request_id string, arrival_id string, arrival_observation_key string")
+    df = df.unionByName(TR.with_arrival_key(df))
+    key = "arrival_observation_key"
+    assert rows_of(TR.unfolded(TR.folded(df, key), key)) == rows_of(df)
+    texts = ["", "h", "t", "ab", "AB", "abc", "61", "a", None, "zz" * 9, "00", "0"]
+    short = [r[0] for r in spark.createDataFrame([(x,) for x in texts], "x string").select(K.short_text("x")).collect()]
+    assert len({bytes(s) for s in short if s is not None}) == len(texts) - 1 and short.count(None) == 1
+
+
+def test_stored_facts_hold_no_hash_that_their_columns_give(spark):
+    silver = G.silver_arrivals(spark, SF)
+    fact = J.fact_arrivals(silver, G.dim_station(spark, SF), G.dim_line(spark, SF), G._plain_calendar(spark))
+    stored = spark.read.parquet(*fact.inputFiles())
+    assert {r[0] for r in stored.select("arrival_observation_key").distinct().collect()} == {"="}
+    assert fact.select("arrival_observation_key").exceptAll(silver.select("arrival_observation_key")).count() == 0
+    assert "arrival_observation_key" not in spark.read.parquet(*silver.inputFiles()).columns
