@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from snapstar.functions import keys as K
 from snapstar.operators import audit as A
 from snapstar.operators import dedup as D
+from snapstar.operators import quality as Q
 from snapstar.plans import gold_model as G
 from snapstar.plans import jobs as J
 from snapstar.plans import model as M
 from snapstar.plans import transit as TR
 from snapstar.session import ensure_checkpoint_dir
+from snapstar.sources import flatten as FL
 from snapstar.sources import versions as V
 
 SF = "/root/testdata/sf0.001"
@@ -138,3 +140,65 @@ def test_stored_facts_hold_no_hash_that_their_columns_give(spark):
     assert {r[0] for r in stored.select("arrival_observation_key").distinct().collect()} == {"="}
     assert fact.select("arrival_observation_key").exceptAll(silver.select("arrival_observation_key")).count() == 0
     assert "arrival_observation_key" not in spark.read.parquet(*silver.inputFiles()).columns
+
+
+def test_weather_is_parsed_once_for_all_its_rules(spark):
+    valid = Q.split(FL.weather(G._good(M.weather_bronze(spark, SF), TR.weather_contract)), TR.weather_rules())[0]
+    assert valid._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_a_table_marked_and_split_is_split_as_ever(spark):
+    rules = [Q.Rule("positive", F.col("n") > 0), *Q.not_null("k")]
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, 2), ("c", -1), (None, None)], "k string, n int")
+    marked = Q.split_marked(Q.mark(df, rules, "_valid"), rules, "_valid")
+    assert [rows_of(x) for x in marked] == [rows_of(x) for x in Q.split(df, rules)]
+
+
+def test_valid_arrivals_are_counted_from_one_column(spark):
+    plan = plan_of(G.silver_arrivals(spark, SF).groupBy().count())
+    assert "ReadSchema: struct<_valid:boolean>" in plan
+
+
+def test_rows_of_repeated_keys_are_picked_once(spark):
+    df = keyed(spark)
+    got = D.pick_where_repeated(df, ["k", "part"], ["n"], pick="min")
+    assert "Aggregate" not in plan_of(got)
+    assert rows_of(got) == rows_of(D.pick_per_key(df, ["k", "part"], ["n"], pick="min"))
+    alone = df.dropDuplicates(["k", "part"]).localCheckpoint()
+    assert D.pick_where_repeated(alone, ["k", "part"], ["n"]) is alone
+
+
+def test_newest_rows_of_few_keys_are_not_shuffled(spark):
+    df = spark.range(5000).select((F.col("id") % 7).alias("k"), (F.col("id") % 50).alias("t"), F.lit("text").alias("v")).union(
+        spark.createDataFrame([(None, 4, "x"), (3, None, "y")], "k long, t long, v string"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = D.rows_at_latest_per_key(df, ["k"], "t")
+        assert "Exchange hashpartitioning" not in plan_of(got)
+        assert got.count() == sum(1 for i in range(5000) if i % 50 == 49) and got.where("k is null").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_orphans_of_a_large_parent_are_counted_before_they_are_shuffled(spark, monkeypatch):
+    child = spark.createDataFrame([("a",)] * 5 + [("x",)] * 3 + [("y",), (None,)], "k string")
+    parent = spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('b'), (NULL) AS t(p)")
+    few = A.orphans("o", child, parent, ["k"], ["p"])
+    monkeypatch.setattr(A, "small_enough", lambda df: False)
+    many = A.orphans("o", child, parent, ["k"], ["p"])
+    assert few.first()["actual_value"] == many.first()["actual_value"] == 4
+    assert A.orphans("o", child.where("k = 'a'"), parent, ["k"], ["p"]).first()["actual_value"] == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_of(few.select("*"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_bridge_shuffles_no_keys_and_stores_no_hash_of_them(spark):
+    t = G.gold_tables(spark, SF)
+    bridge = t["bridge_station_line"]
+    stored = spark.read.parquet(*[f for f in bridge.inputFiles() if "/bridge-" in f])
+    assert {r[0] for r in stored.select("station_line_key").distinct().collect()} == {"="}
+    assert bridge.select("station_line_key").distinct().count() == bridge.count()
+    assert {r[0].isoformat(" ") for r in bridge.select("source_snapshot_at").distinct().collect()} == {G.SECOND}
